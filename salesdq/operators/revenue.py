@@ -140,7 +140,7 @@ def catalog_pareto(
         "TrackRevenue",
         running="_cumulative",
         total="ArtistTotalRevenue",
-        **({} if slice_rows is None else {"slice_rows": slice_rows}),
+        slice_rows=slice_rows,
     )
     share = percent(F.col("_cumulative"), F.col("ArtistTotalRevenue"))
     return summed.select(

@@ -38,7 +38,7 @@ def join_many_to_one(
     *,
     bound: DataFrame,
     spread_by: list[str],
-    hot_rows: int = HOT_KEY_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Inner join of ``many`` rows per ``key`` to a side with one row per ``key``.
 
@@ -49,7 +49,7 @@ def join_many_to_one(
     Otherwise both sides are shuffled. ``one`` comes out of an aggregation on the
     same key, so Spark would not exchange it again, and without an exchange on
     both sides the adaptive skew split does not apply. Keys with more than
-    ``hot_rows`` rows are therefore split here: their row in ``one`` is repeated
+    ``hot_rows`` (HOT_KEY_ROWS) rows are therefore split here: their row in ``one`` is repeated
     per share and ``many`` is dealt out over the shares by a hash of
     ``spread_by``; all other keys are joined as they are. There are fewer than
     ``count(many) / hot_rows`` hot keys, 200,000 of them in 10^12 rows at the
@@ -58,6 +58,7 @@ def join_many_to_one(
     if fits_broadcast(bound):
         return many.join(F.broadcast(one), key)
 
+    hot_rows = hot_rows or HOT_KEY_ROWS
     hot = (
         many.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))

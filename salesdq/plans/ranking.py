@@ -39,13 +39,14 @@ def running_total(
     *,
     running: str,
     total: str,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Add the running and the overall sum of ``value`` per group.
 
     ``order`` lists (column, descending) and must end in a column that makes it
-    unique; descending columns are numeric, and NULL sorts lowest. A group is cut
-    into slices of about ``slice_rows`` consecutive rows:
+    unique; descending columns are numeric, and NULL sorts lowest. ``group`` is
+    not NULL. A group is cut into slices of about ``slice_rows`` (SLICE_ROWS)
+    consecutive rows:
 
     1. Rows whose hash falls on one value in ``slice_rows`` become cut points.
        They only place the cuts; every row stays in the result. Groups below
@@ -64,27 +65,30 @@ def running_total(
         parts.append((-F.col(column) if descending else F.col(column)).alias(f"key{i}"))
     placed = df.withColumn("_position", F.struct(*parts))
 
+    every = F.lit(slice_rows or SLICE_ROWS)
     cuts = (
-        placed.filter(F.pmod(F.xxhash64(*[c for c, _ in order]), F.lit(slice_rows)) == 0)
-        .groupBy(F.col(group).alias("_group"))
+        placed.filter(F.pmod(F.xxhash64(*[c for c, _ in order]), every) == 0)
+        .groupBy(group)
         .agg(F.sort_array(F.collect_list("_position")).alias("_cuts"))
     )
-    before = F.filter("_cuts", lambda cut: cut < F.col("_position"))
+    earlier_cuts = F.size(F.filter("_cuts", lambda cut: cut < F.col("_position")))
+    slice_number = F.when(F.col("_cuts").isNull(), 0).otherwise(earlier_cuts)
     sliced = (
-        placed.join(F.broadcast(cuts), F.col(group).eqNullSafe(F.col("_group")), "left")
-        .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(before)))
-        .drop("_cuts", "_group")
+        placed.join(F.broadcast(cuts), group, "left")
+        # never NULL; coalesce says so to the optimizer
+        .withColumn("_slice", F.coalesce(slice_number, F.lit(0)))
+        .drop("_cuts")
     )
 
     # one row per slice: bounded by rows / slice_rows within a group
-    by_group = Window.partitionBy("_group")
+    by_group = Window.partitionBy(group)
     earlier = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(F.col(group).alias("_group"), F.col("_slice").alias("_slice"))
+        sliced.groupBy(group, "_slice")
         .agg(F.sum(value).alias("_sum"))
         .withColumn(total, F.sum("_sum").over(by_group))
         .withColumn("_offset", F.sum("_sum").over(earlier))
-        .select("_group", F.col("_slice").alias("_slice_id"), total, "_offset")
+        .drop("_sum")
     )
 
     within = (
@@ -92,11 +96,13 @@ def running_total(
         .orderBy("_position")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = sliced.withColumn("_running", F.sum(value).over(within))
-    same_slice = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_slice_id"))
-    both = F.coalesce(F.col("_offset") + F.col("_running"), F.col("_running"), F.col("_offset"))
+    # a sum so far is NULL as long as it has met nothing but NULL
+    both = F.coalesce(
+        F.col("_offset") + F.col("_within"), F.col("_within"), F.col("_offset")
+    )
     return (
-        summed.join(offsets, same_slice)
+        sliced.withColumn("_within", F.sum(value).over(within))
+        .join(offsets, [group, "_slice"])
         .withColumn(running, both)
-        .drop("_position", "_slice", "_running", "_group", "_slice_id", "_offset")
+        .drop("_position", "_slice", "_within", "_offset")
     )
