@@ -21,18 +21,16 @@ def amount(price: str = "UnitPrice", quantity: str = "Quantity") -> Column:
 def rounded_ratio(num: Column, den: Column, digits: int = 2) -> Column:
     """``num / den`` rounded half away from zero to ``digits``, NULL on a zero ``den``.
 
-    Decimal division in Spark keeps six fractional digits of wide operands, so
-    ``round(a / b, 2)`` would round twice. Integer division of the scaled
-    numerator rounds once and is exact for any precision of the operands.
+    Both operands are whole numbers or decimals. Decimal division in Spark keeps
+    six fractional digits of wide operands, so ``round(a / b, 2)`` would round
+    twice. Here the remainder is taken off first, and what is left divides evenly.
     """
     scale = 10**digits
-    units = F.call_function(
-        "div",
-        F.abs(num) * F.lit(2 * scale) + F.abs(den),
-        F.nullif(F.abs(den), F.lit(0)) * F.lit(2),
-    ).cast("decimal(20,0)")
+    twice = F.abs(num) * F.lit(Decimal(2 * scale)) + F.abs(den)
+    divisor = F.nullif(F.abs(den), F.lit(0)) * F.lit(Decimal(2))
+    units = ((twice - twice % divisor) / divisor).cast("decimal(38,0)")
     signed = F.when((num < 0) != (den < 0), -units).otherwise(units)
-    return (signed * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(20,{digits})")
+    return (signed * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import percent
-from salesdq.plans import album_artists, null_safe_lookup, report, sales_per_track, top_ties
+from salesdq.plans import (
+    album_artists,
+    join_many_to_one,
+    null_safe_lookup,
+    report,
+    revenue_by_attributes,
+    top_ties,
+)
 from salesdq.sources import sink
 
 TRACK_COLUMNS = ("TrackId", "Name", "FinalComposer", "AlbumId", "GenreId", "Milliseconds", "UnitPrice")
@@ -40,7 +47,9 @@ def impute_candidates(
 ) -> DataFrame:
     """Suggestions for tracks without ``target``; tied values each give a suggestion."""
     gaps = tracks.filter(F.col(target).isNull()).select("TrackId", "Name", group)
-    return gaps.join(group_modes(tracks, group, target, ties), group).select(
+    modes = group_modes(tracks, group, target, ties)
+    suggested = join_many_to_one(gaps, modes, group, bound=tracks, spread_by=["TrackId"])
+    return suggested.select(
         "TrackId", F.col("Name").alias("TrackName"), F.col("_mode").alias("SuggestedComposer")
     )
 
@@ -134,12 +143,7 @@ def revenue_by_presence(
 ) -> DataFrame:
     """Revenue of tracks with and without ``target``."""
     status = F.when(F.col(target).isNull(), labels[0]).otherwise(labels[1])
-    return (
-        tracks.select("TrackId", status.alias("ComposerStatus"))
-        .join(sales_per_track(lines), "TrackId")
-        .groupBy("ComposerStatus")
-        .agg(F.sum("Revenue").alias("Revenue"))
-    )
+    return revenue_by_attributes(lines, tracks.select("TrackId", status.alias("ComposerStatus")), tracks)
 
 
 @report("-DistinctComposerCount", "AlbumId")

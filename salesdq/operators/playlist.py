@@ -13,9 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesdq.functions import percent, rounded_ratio, weighted_stddev_pop
+from salesdq.functions import any_null, percent, rounded_ratio, weighted_stddev_pop
 from salesdq.operators.revenue import metadata_status
-from salesdq.plans import album_artists, join_many_to_one, null_safe_lookup, report, sales_per_track, top_k
+from salesdq.plans import (
+    album_artists,
+    all_albums,
+    join_many_to_one,
+    null_safe_lookup,
+    report,
+    sales_per_track,
+    top_k,
+)
 from salesdq.plans.facts import roll_up
 
 
@@ -24,22 +32,21 @@ def _track_sales(tracks: DataFrame, lines: DataFrame, *columns: str) -> DataFram
     return tracks.select("TrackId", *columns).join(sales_per_track(lines), "TrackId", "left")
 
 
-def _entries(entries: DataFrame, per_track: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Entries with the facts of their track."""
-    return join_many_to_one(
-        entries.select("PlaylistId", "TrackId"),
-        per_track,
-        "TrackId",
-        bound=tracks,
-        spread_by=["PlaylistId"],
-    )
-
+def _entries(
+    entries: DataFrame, per_track: DataFrame, tracks: DataFrame, *, pairs_unique: bool | None = None
+) -> DataFrame:
+    """Entries with the facts of their track.
 
-def _pairs(entries: DataFrame, pairs_unique: bool) -> DataFrame:
-    """PlaylistId, TrackId, _copies: one row per pair."""
+    Given ``pairs_unique``, each pair appears once, with its number in _copies; if
+    it is False the entries are grouped, if True they are trusted to hold no pair
+    twice, which saves the shuffle.
+    """
+    pairs = entries.select("PlaylistId", "TrackId")
     if pairs_unique:
-        return entries.select("PlaylistId", "TrackId", F.lit(1).alias("_copies"))
-    return entries.groupBy("PlaylistId", "TrackId").agg(F.count(F.lit(1)).alias("_copies"))
+        pairs = pairs.withColumn("_copies", F.lit(1))
+    elif pairs_unique is False:
+        pairs = pairs.groupBy("PlaylistId", "TrackId").agg(F.count(F.lit(1)).alias("_copies"))
+    return join_many_to_one(pairs, per_track, "TrackId", bound=tracks, spread_by=["PlaylistId"])
 
 
 def _named(per_playlist: DataFrame, playlists: DataFrame) -> DataFrame:
@@ -112,7 +119,8 @@ def playlist_quality_score(
 
     ``pairs_unique`` saves a shuffle where the entries are known to hold no pair twice.
     """
-    facts = _entries_with_copies(entries, _track_sales(tracks, lines, "GenreId", "Milliseconds"), tracks, pairs_unique)
+    per_track = _track_sales(tracks, lines, "GenreId", "Milliseconds")
+    facts = _entries(entries, per_track, tracks, pairs_unique=pairs_unique)
     copies = F.col("_copies")
     per_genre = facts.groupBy("PlaylistId", "GenreId").agg(
         F.count(F.lit(1)).alias("_tracks"),
@@ -153,23 +161,15 @@ def _round2(value: Column) -> Column:
     return F.round(value.cast("decimal(30,8)"), 2)
 
 
-def _entries_with_copies(
-    entries: DataFrame, per_track: DataFrame, tracks: DataFrame, pairs_unique: bool
-) -> DataFrame:
-    return join_many_to_one(
-        _pairs(entries, pairs_unique), per_track, "TrackId", bound=tracks, spread_by=["PlaylistId"]
-    )
-
-
 def _gaps(tracks: DataFrame, albums: DataFrame, artists: DataFrame) -> DataFrame:
     """Tracks that lack a genre, an album or an artist."""
-    known = album_artists(albums, artists, "left").select("AlbumId", "ArtistId")
     traced = null_safe_lookup(
-        tracks.select("TrackId", "Name", "GenreId", "AlbumId"), known, "AlbumId", spread_by=["TrackId"]
-    )
-    return traced.filter(
-        F.col("GenreId").isNull() | F.col("AlbumId").isNull() | F.col("ArtistId").isNull()
+        tracks.select("TrackId", "Name", "GenreId", "AlbumId"),
+        all_albums(albums, artists),
+        "AlbumId",
+        spread_by=["TrackId"],
     )
+    return traced.filter(any_null(("GenreId", "AlbumId", "KnownArtist")))
 
 
 @report("-ProblematicTrackCount", "PlaylistId")
@@ -264,11 +264,8 @@ def playlist_unique_value(
 ) -> DataFrame:
     """Average revenue of a playlist's sold tracks, as it is and divided by the number
     of playlists each track is in."""
-    uses = (
-        _pairs(entries, pairs_unique)
-        .groupBy("TrackId")
-        .agg(F.count("PlaylistId").alias("_uses"))
-    )
+    count = F.count if pairs_unique else F.count_distinct
+    uses = entries.groupBy("TrackId").agg(count("PlaylistId").alias("_uses"))
     used = _track_sales(tracks, lines).join(uses, "TrackId")
     per_use = used.withColumn("_per_use", rounded_ratio(F.col("Revenue"), F.col("_uses"), 6))
     sums = (
@@ -319,7 +316,7 @@ def playlist_top_track_share(
     pairs_unique: bool = False,
 ) -> DataFrame:
     """How much of a playlist's revenue its best track earns; unsold tracks earn 0."""
-    facts = _entries_with_copies(entries, _track_sales(tracks, lines), tracks, pairs_unique)
+    facts = _entries(entries, _track_sales(tracks, lines), tracks, pairs_unique=pairs_unique)
     earned = facts.select(
         "PlaylistId", F.coalesce(F.col("Revenue") * F.col("_copies"), F.lit(0)).alias("_earned")
     )

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from salesdq.functions import amount, any_null, month_label, month_start, percent, rounded_ratio
 from salesdq.plans import (
     album_artists,
+    all_albums,
     artist_totals,
     join_many_to_one,
     null_safe_lookup,
     report,
+    revenue_by_attributes,
     running_total,
     sales_per_track,
     top_k,
@@ -22,13 +24,13 @@ from salesdq.plans import (
 from salesdq.plans.facts import LINE_FIELDS, roll_up
 
 
-def _sales_by_track_and_period(
+def _dated_sales(
     invoices: DataFrame, lines: DataFrame, periods: dict[str, Column]
 ) -> DataFrame:
-    """TrackId, the period columns, Revenue. Only one row per track and period
-    leaves the stage that joins lines to invoices."""
+    """TrackId, the period columns, Revenue: one row per line on an invoice."""
     dated = invoices.select("InvoiceId", *[c.alias(n) for n, c in periods.items()])
-    return lines.join(dated, "InvoiceId").groupBy("TrackId", *periods).agg(F.sum(amount()).alias("Revenue"))
+    detail = lines.select("InvoiceId", "TrackId", amount().alias("Revenue"))
+    return detail.join(dated, "InvoiceId").drop("InvoiceId")
 
 
 def metadata_status(labels: Sequence[str]) -> Column:
@@ -53,10 +55,8 @@ def monthly_top_artist(
     k: int = 1,
 ) -> DataFrame:
     """The artists with the highest revenue of each month, all of them on a tie."""
-    per_track = _sales_by_track_and_period(
-        invoices, lines, {"_month": month_start("InvoiceDate")}
-    )
-    monthly = artist_totals(per_track, tracks, albums, artists, by=["_month"])
+    sales = _dated_sales(invoices, lines, {"_month": month_start("InvoiceDate")})
+    monthly = artist_totals(sales, tracks, albums, artists, by=["_month"])
     best = top_k(monthly, ["_month"], [F.desc("Revenue")], k, "MonthlyRank", ties=True)
     return best.select(
         "ArtistId",
@@ -73,11 +73,7 @@ def genre_revenue_share(
 ) -> DataFrame:
     """Each artist's share of the revenue of a genre. The genre's total includes
     tracks that lead to no artist, so shares need not add up to 100."""
-    per_album = roll_up(
-        tracks.select("TrackId", "GenreId", "AlbumId").join(sales_per_track(lines), "TrackId"),
-        ["GenreId", "AlbumId"],
-        ["Revenue"],
-    )
+    per_album = revenue_by_attributes(lines, tracks.select("TrackId", "GenreId", "AlbumId"), tracks)
     totals = per_album.groupBy("GenreId").agg(F.sum("Revenue").alias("TotalGenreRevenue"))
     named_totals = genres.select("GenreId", F.col("Name").alias("GenreName")).join(totals, "GenreId")
     per_artist = roll_up(
@@ -168,8 +164,8 @@ def half_year_trend(
         raise ValueError(f"key must be 'name' or 'id', not {key!r}")
     half = F.when(F.month("InvoiceDate") <= 6, "H1").otherwise("H2")
     periods = {"_half": half} | ({"SalesYear": F.year("InvoiceDate")} if by_year else {})
-    per_track = _sales_by_track_and_period(invoices, lines, periods)
-    halves = artist_totals(per_track, tracks, albums, artists, by=list(periods))
+    sales = _dated_sales(invoices, lines, periods)
+    halves = artist_totals(sales, tracks, albums, artists, by=list(periods))
     keys = (["ArtistId"] if key == "id" else []) + ["ArtistName"] + (["SalesYear"] if by_year else [])
 
     def best(name: str) -> Column:
@@ -216,12 +212,8 @@ def revenue_by_metadata_status(
     labels: Sequence[str] = ("Missing Genre & Album", "Missing Genre", "Missing Album", "Complete"),
 ) -> DataFrame:
     """Revenue of known tracks by what their metadata lacks."""
-    return (
-        tracks.select("TrackId", metadata_status(labels).alias("MetadataStatus"))
-        .join(sales_per_track(lines), "TrackId")
-        .groupBy("MetadataStatus")
-        .agg(F.sum("Revenue").alias("TotalRevenue"))
-    )
+    status = tracks.select("TrackId", metadata_status(labels).alias("MetadataStatus"))
+    return revenue_by_attributes(lines, status, tracks).withColumnRenamed("Revenue", "TotalRevenue")
 
 
 @report("-Revenue")
@@ -240,10 +232,10 @@ def revenue_attribution(
         ["AlbumId"],
         ["Revenue"],
     )
-    known = album_artists(albums, artists, "left").withColumn("_album", F.lit(True))
+    known = all_albums(albums, artists).withColumn("_album", F.lit(True))
     status = (
         F.when(F.col("_album").isNull(), labels[0])
-        .when(F.col("ArtistId").isNull(), labels[1])
+        .when(F.col("KnownArtist").isNull(), labels[1])
         .otherwise(labels[2])
     )
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, full_name, month_label, month_start, percent, rounded_ratio
-from salesdq.plans import album_artists, report, top_k
+from salesdq.plans import artist_totals, report, top_k
 from salesdq.plans.facts import roll_up
 
 TITLE = "Sales Support Agent"
@@ -131,24 +131,21 @@ def rep_customer_ltv(
     )
 
 
-def _sales_by_rep_and_track(
+def _rep_sales(
     employees: DataFrame, customers: DataFrame, invoices: DataFrame, lines: DataFrame, title: str
 ) -> DataFrame:
-    """EmployeeId, TrackId, Revenue, SoldLines for the representatives with ``title``.
+    """EmployeeId, TrackId, Revenue: the lines sold by representatives with ``title``.
 
     Representatives narrow customers, and those invoices, before the lines are
-    touched; the lines are combined again before they leave the join stage.
+    touched.
     """
     reps = _reps(employees, title).select("EmployeeId")
     clients = customers.select("CustomerId", F.col("SupportRepId").alias("EmployeeId")).join(
         reps, "EmployeeId"
     )
     served = invoices.select("InvoiceId", "CustomerId").join(clients, "CustomerId")
-    return (
-        lines.join(served.select("InvoiceId", "EmployeeId"), "InvoiceId")
-        .groupBy("EmployeeId", "TrackId")
-        .agg(F.sum(amount()).alias("Revenue"), F.count(F.lit(1)).alias("SoldLines"))
-    )
+    detail = lines.select("InvoiceId", "TrackId", amount().alias("Revenue"))
+    return detail.join(served.select("InvoiceId", "EmployeeId"), "InvoiceId").drop("InvoiceId")
 
 
 @report("employeeName", "-revenue", "artistName")
@@ -164,17 +161,9 @@ def rep_artist_revenue(
     title: str = TITLE,
 ) -> DataFrame:
     """Revenue per representative and artist name; namesake representatives stay apart."""
-    per_track = _sales_by_rep_and_track(employees, customers, invoices, lines, title)
-    per_album = roll_up(
-        per_track.join(tracks.select("TrackId", "AlbumId"), "TrackId"),
-        ["EmployeeId", "AlbumId"],
-        ["Revenue"],
-    )
-    per_artist = roll_up(
-        per_album.join(album_artists(albums, artists), "AlbumId"),
-        ["EmployeeId", "ArtistName"],
-        ["Revenue"],
-    )
+    sales = _rep_sales(employees, customers, invoices, lines, title)
+    per_id = artist_totals(sales, tracks, albums, artists, by=["EmployeeId"])
+    per_artist = roll_up(per_id, ["EmployeeId", "ArtistName"], ["Revenue"])
     return per_artist.join(_reps(employees, title), "EmployeeId").select(
         full_name().alias("employeeName"),
         F.col("ArtistName").alias("artistName"),
@@ -228,7 +217,8 @@ def rep_top_genre(
     k: int = 1,
 ) -> DataFrame:
     """The genre sold most often by each representative, in lines; ties go by name."""
-    per_track = _sales_by_rep_and_track(employees, customers, invoices, lines, title)
+    sales = _rep_sales(employees, customers, invoices, lines, title)
+    per_track = sales.groupBy("EmployeeId", "TrackId").agg(F.count(F.lit(1)).alias("SoldLines"))
     per_genre = roll_up(
         per_track.join(tracks.select("TrackId", "GenreId"), "TrackId"),
         ["EmployeeId", "GenreId"],

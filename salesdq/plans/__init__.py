@@ -2,9 +2,11 @@
 
 from salesdq.plans.facts import (
     album_artists,
+    all_albums,
     artist_totals,
     invoice_sales,
     lines_per_invoice,
+    revenue_by_attributes,
     sales_per_track,
 )
 from salesdq.plans.joins import estimated_bytes, fits_broadcast, join_many_to_one, null_safe_lookup
@@ -13,6 +15,7 @@ from salesdq.plans.report import report
 
 __all__ = [
     "album_artists",
+    "all_albums",
     "artist_totals",
     "estimated_bytes",
     "fits_broadcast",
@@ -21,6 +24,7 @@ __all__ = [
     "lines_per_invoice",
     "null_safe_lookup",
     "report",
+    "revenue_by_attributes",
     "running_total",
     "sales_per_track",
     "top_k",

@@ -1,9 +1,11 @@
-"""Sales lines reduced to one row per key before any join.
-
-Every report that meets the line table starts here. Aggregating on the join key
-first combines a hot key inside each map task, leaves unique keys on both sides
-of the join, and costs no extra shuffle, because the join needs that very
-partitioning. Money is DECIMAL, so the order of summation cannot matter.
+"""Sales lines brought to the level of a report.
+
+Every report that meets the line table starts here. Where the other table fits a
+broadcast, lines are joined as they are scanned and aggregated once. Beyond that
+size they are reduced to one row per key before the join: this combines a hot key
+inside each map task, leaves unique keys on both sides of the join, and costs no
+extra shuffle, because the join needs that very partitioning. Money is DECIMAL,
+so the order of summation cannot matter.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, any_null
+from salesdq.plans.joins import fits_broadcast, null_safe_lookup
 
 LINE_FIELDS = ("TrackId", "UnitPrice", "Quantity")
 
@@ -46,15 +49,36 @@ def invoice_sales(invoices: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def album_artists(albums: DataFrame, artists: DataFrame, how: str = "inner") -> DataFrame:
-    """AlbumId, ArtistId, ArtistName; ArtistId is NULL where a left join finds no artist."""
+def album_artists(albums: DataFrame, artists: DataFrame) -> DataFrame:
+    """AlbumId, ArtistId, ArtistName of the albums whose artist is known."""
     named = artists.select("ArtistId", F.col("Name").alias("ArtistName"))
-    album = albums.select("AlbumId", F.col("ArtistId").alias("_artist"))
-    return album.join(named, F.col("_artist") == F.col("ArtistId"), how).drop("_artist")
+    return albums.select("AlbumId", "ArtistId").join(named, "ArtistId")
+
+
+def all_albums(albums: DataFrame, artists: DataFrame) -> DataFrame:
+    """AlbumId, KnownArtist of every album; KnownArtist is NULL if there is no such artist."""
+    known = artists.select("ArtistId", F.col("ArtistId").alias("KnownArtist"))
+    traced = null_safe_lookup(
+        albums.select("AlbumId", "ArtistId"), known, "ArtistId", spread_by=["AlbumId"]
+    )
+    return traced.select("AlbumId", "KnownArtist")
+
+
+def revenue_by_attributes(
+    lines: DataFrame, attributes: DataFrame, tracks: DataFrame
+) -> DataFrame:
+    """Revenue by the columns that ``attributes``, a projection of ``tracks``, adds
+    to TrackId. Lines without a known track drop out."""
+    keys = [c for c in attributes.columns if c != "TrackId"]
+    if fits_broadcast(tracks):
+        detail = lines.select("TrackId", amount().alias("Revenue")).join(F.broadcast(attributes), "TrackId")
+    else:
+        detail = sales_per_track(lines).join(attributes, "TrackId")
+    return roll_up(detail, keys, ["Revenue"])
 
 
 def artist_totals(
-    per_track: DataFrame,
+    sales: DataFrame,
     tracks: DataFrame,
     albums: DataFrame,
     artists: DataFrame,
@@ -62,16 +86,18 @@ def artist_totals(
     by: Sequence[str] = (),
     sums: Sequence[str] = ("Revenue",),
 ) -> DataFrame:
-    """Carry per-track sums up to ArtistId, ArtistName (and ``by``).
+    """Sums of ``sales``, any number of rows per TrackId, by ArtistId, ArtistName and ``by``.
 
-    Summed up again at each step of track, album and artist, so no join sees
+    With a small track table each row finds its artist at once. Otherwise sales
+    are summed up again at each step of track, album and artist, so no join sees
     more than one row per key and value of ``by``.
     """
-    per_album = roll_up(
-        per_track.join(tracks.select("TrackId", "AlbumId"), "TrackId"), ["AlbumId", *by], sums
-    )
-    return roll_up(
-        per_album.join(album_artists(albums, artists), "AlbumId"),
-        ["ArtistId", "ArtistName", *by],
-        sums,
-    )
+    made_by = album_artists(albums, artists)
+    made_on = tracks.select("TrackId", "AlbumId")
+    top = ["ArtistId", "ArtistName", *by]
+    if fits_broadcast(tracks):
+        path = made_on.join(made_by, "AlbumId").drop("AlbumId")
+        return roll_up(sales.join(F.broadcast(path), "TrackId"), top, sums)
+    per_track = roll_up(sales, ["TrackId", *by], sums)
+    per_album = roll_up(per_track.join(made_on, "TrackId"), ["AlbumId", *by], sums)
+    return roll_up(per_album.join(made_by, "AlbumId"), top, sums)

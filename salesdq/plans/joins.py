@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 # Rows of one key that a single join task may get before the key is split.
 HOT_KEY_ROWS = 5_000_000
 # Tasks that share the rows whose lookup key is NULL.
-NULL_SLOTS = 64
+NULL_SLOTS = 1024
+# Estimates count compressed file bytes; a broadcast side is held uncompressed.
+COMPRESSION = 4
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -26,9 +28,9 @@ def _broadcast_limit(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is within the session's limit for broadcasting a join side."""
+    """Whether ``df`` is well within the session's limit for broadcasting a join side."""
     limit = _broadcast_limit(df)
-    return limit > 0 and estimated_bytes(df) <= limit
+    return limit > 0 and estimated_bytes(df) * COMPRESSION <= limit
 
 
 def join_many_to_one(
@@ -40,7 +42,7 @@ def join_many_to_one(
     spread_by: list[str],
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Inner join of ``many`` rows per ``key`` to a side with one row per ``key``.
+    """Inner join of ``many`` rows per ``key`` to a side with one row (or a few).
 
     ``bound`` is a scan that has at least as many rows as ``one``. Where it fits
     the session's broadcast limit, ``one`` is broadcast: its own estimate is no
@@ -49,8 +51,8 @@ def join_many_to_one(
     Otherwise both sides are shuffled. ``one`` comes out of an aggregation on the
     same key, so Spark would not exchange it again, and without an exchange on
     both sides the adaptive skew split does not apply. Keys with more than
-    ``hot_rows`` (HOT_KEY_ROWS) rows are therefore split here: their row in ``one`` is repeated
-    per share and ``many`` is dealt out over the shares by a hash of
+    ``hot_rows`` (HOT_KEY_ROWS) rows are therefore split here: their rows in ``one`` are
+    repeated per share and ``many`` is dealt out over the shares by a hash of
     ``spread_by``; all other keys are joined as they are. There are fewer than
     ``count(many) / hot_rows`` hot keys, 200,000 of them in 10^12 rows at the
     very most, which bounds what is broadcast to some 4 MB.
@@ -79,13 +81,18 @@ def null_safe_lookup(
     """Left join on a key that may be NULL in ``many``.
 
     A NULL key matches nothing, yet all such rows would hash to one task. A
-    second join column deals them out; it is 0 for every key that can match.
+    second join column deals them out; it is 0 for every key that can match. On
+    the other side the 0 is computed from the key: a literal would be folded into
+    a filter, and the rows partitioned by the key alone again. The second column
+    also makes Spark exchange both sides, which the adaptive skew split needs to
+    divide a hot key.
     """
     slot = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SLOTS)).cast("int")
-    ).otherwise(F.lit(0))
+        F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SLOTS))
+    ).otherwise(F.lit(0).cast("long"))
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
     return (
         many.withColumn("_slot", slot)
-        .join(one.withColumn("_slot", F.lit(0)), [key, "_slot"], "left")
+        .join(one.withColumn("_slot", zero), [key, "_slot"], "left")
         .drop("_slot")
     )

@@ -195,7 +195,8 @@ def random_store(seed: int) -> dict[str, list[tuple]]:
         "genre": [(1, "Classical"), (2, "Rock"), (3, "Rock"), (4, "Jazz")],
         "playlist": [(p, f"P{p % 7}") for p in range(1, 13)],
     }
-    pairs = {(key(12, 0) , key(tracks, 0)) for _ in range(400)} | {(p, 1) for p in range(1, 11)}
+    # pairs may repeat, and one track is on most playlists
+    pairs = [(key(12, 0), key(tracks, 0)) for _ in range(400)] + [(p, 1) for p in range(1, 11)]
     store["playlist_track"] = sorted(pairs)
     return store
 
