@@ -3,6 +3,7 @@
 from salesdq.functions.semantics import (
     amount,
     any_null,
+    calendar_week,
     full_name,
     is_missing,
     month_label,
@@ -10,7 +11,6 @@ from salesdq.functions.semantics import (
     null_count,
     percent,
     rounded_ratio,
-    sunday_week,
     weekday_name,
     weighted_stddev_pop,
 )
@@ -18,6 +18,7 @@ from salesdq.functions.semantics import (
 __all__ = [
     "amount",
     "any_null",
+    "calendar_week",
     "full_name",
     "is_missing",
     "month_label",
@@ -25,7 +26,6 @@ __all__ = [
     "null_count",
     "percent",
     "rounded_ratio",
-    "sunday_week",
     "weekday_name",
     "weighted_stddev_pop",
 ]

@@ -92,12 +92,13 @@ def weekday_name(ts: str) -> Column:
     return F.date_format(F.col(ts), "EEEE")
 
 
-def sunday_week(ts: str) -> Column:
-    """Week of the year where weeks begin on Sunday and week 1 holds 1 January.
+def calendar_week(ts: str, first_day: int = 1) -> Column:
+    """Week of the year, where weeks begin on ``first_day`` (1 is Sunday, 7 Saturday)
+    and week 1 holds 1 January.
 
     This is not the ISO week of ``weekofyear``: every year restarts at 1, so it
     pairs with the calendar year.
     """
     day = F.to_date(F.col(ts))
-    lead_in = F.dayofweek(F.trunc(day, "YEAR"))
-    return (F.floor((F.dayofyear(day) + lead_in - F.lit(2)) / F.lit(7)) + F.lit(1)).cast("int")
+    lead_in = F.pmod(F.dayofweek(F.trunc(day, "YEAR")) - F.lit(first_day), F.lit(7))
+    return (F.floor((F.dayofyear(day) - F.lit(1) + lead_in) / F.lit(7)) + F.lit(1)).cast("int")

@@ -12,10 +12,11 @@ from salesdq.functions import percent
 from salesdq.plans import (
     album_artists,
     join_many_to_one,
+    line_sales,
     null_safe_lookup,
     report,
-    revenue_by_attributes,
     top_ties,
+    totals_by_attributes,
 )
 from salesdq.sources import sink
 
@@ -143,7 +144,8 @@ def revenue_by_presence(
 ) -> DataFrame:
     """Revenue of tracks with and without ``target``."""
     status = F.when(F.col(target).isNull(), labels[0]).otherwise(labels[1])
-    return revenue_by_attributes(lines, tracks.select("TrackId", status.alias("ComposerStatus")), tracks)
+    presence = tracks.select("TrackId", status.alias("ComposerStatus"))
+    return totals_by_attributes(line_sales(lines), presence, tracks)
 
 
 @report("-DistinctComposerCount", "AlbumId")

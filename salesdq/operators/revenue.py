@@ -14,12 +14,14 @@ from salesdq.plans import (
     all_albums,
     artist_totals,
     join_many_to_one,
+    line_sales,
     null_safe_lookup,
     report,
-    revenue_by_attributes,
     running_total,
     sales_per_track,
     top_k,
+    top_ties,
+    totals_by_attributes,
 )
 from salesdq.plans.facts import LINE_FIELDS, roll_up
 
@@ -54,10 +56,13 @@ def monthly_top_artist(
     *,
     k: int = 1,
 ) -> DataFrame:
-    """The artists with the highest revenue of each month, all of them on a tie."""
+    """The ``k`` artists with the highest revenue of each month, all of them on a tie."""
     sales = _dated_sales(invoices, lines, {"_month": month_start("InvoiceDate")})
     monthly = artist_totals(sales, tracks, albums, artists, by=["_month"])
-    best = top_k(monthly, ["_month"], [F.desc("Revenue")], k, "MonthlyRank", ties=True)
+    if k == 1:
+        best = top_ties(monthly, ["_month"], "Revenue").withColumn("MonthlyRank", F.lit(1))
+    else:
+        best = top_k(monthly, ["_month"], [F.desc("Revenue")], k, "MonthlyRank", ties=True)
     return best.select(
         "ArtistId",
         "ArtistName",
@@ -73,7 +78,9 @@ def genre_revenue_share(
 ) -> DataFrame:
     """Each artist's share of the revenue of a genre. The genre's total includes
     tracks that lead to no artist, so shares need not add up to 100."""
-    per_album = revenue_by_attributes(lines, tracks.select("TrackId", "GenreId", "AlbumId"), tracks)
+    per_album = totals_by_attributes(
+        line_sales(lines), tracks.select("TrackId", "GenreId", "AlbumId"), tracks
+    )
     totals = per_album.groupBy("GenreId").agg(F.sum("Revenue").alias("TotalGenreRevenue"))
     named_totals = genres.select("GenreId", F.col("Name").alias("GenreName")).join(totals, "GenreId")
     per_artist = roll_up(
@@ -213,7 +220,8 @@ def revenue_by_metadata_status(
 ) -> DataFrame:
     """Revenue of known tracks by what their metadata lacks."""
     status = tracks.select("TrackId", metadata_status(labels).alias("MetadataStatus"))
-    return revenue_by_attributes(lines, status, tracks).withColumnRenamed("Revenue", "TotalRevenue")
+    totals = totals_by_attributes(line_sales(lines), status, tracks)
+    return totals.withColumnRenamed("Revenue", "TotalRevenue")
 
 
 @report("-Revenue")

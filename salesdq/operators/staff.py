@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, full_name, month_label, month_start, percent, rounded_ratio
-from salesdq.plans import artist_totals, report, top_k
+from salesdq.plans import artist_totals, report, top_k, totals_by_attributes
 from salesdq.plans.facts import roll_up
 
 TITLE = "Sales Support Agent"
@@ -218,11 +218,9 @@ def rep_top_genre(
 ) -> DataFrame:
     """The genre sold most often by each representative, in lines; ties go by name."""
     sales = _rep_sales(employees, customers, invoices, lines, title)
-    per_track = sales.groupBy("EmployeeId", "TrackId").agg(F.count(F.lit(1)).alias("SoldLines"))
-    per_genre = roll_up(
-        per_track.join(tracks.select("TrackId", "GenreId"), "TrackId"),
-        ["EmployeeId", "GenreId"],
-        ["SoldLines"],
+    sold = sales.select("EmployeeId", "TrackId", F.lit(1).alias("SoldLines"))
+    per_genre = totals_by_attributes(
+        sold, tracks.select("TrackId", "GenreId"), tracks, by=["EmployeeId"], sums=["SoldLines"]
     )
     named = roll_up(
         per_genre.join(genres.select("GenreId", F.col("Name").alias("topGenreName")), "GenreId"),

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesdq.functions import (
+    calendar_week,
     month_label,
     month_start,
     percent,
     rounded_ratio,
-    sunday_week,
     weekday_name,
 )
 from salesdq.plans import invoice_sales, report, top_k
@@ -215,11 +215,13 @@ def volatility_index(invoices: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 @report("SalesYear", "WeekNumber")
-def weekly_cumulative(invoices: DataFrame, lines: DataFrame) -> DataFrame:
-    """Revenue by calendar year and week (weeks begin on Sunday), and its running sum."""
+def weekly_cumulative(invoices: DataFrame, lines: DataFrame, *, first_day: int = 1) -> DataFrame:
+    """Revenue by calendar year and week, and its running sum; weeks begin on
+    ``first_day`` (1 is Sunday) and are cut at the turn of the year."""
+    week = calendar_week("InvoiceDate", first_day)
     weekly = (
         invoice_sales(invoices, lines)
-        .groupBy(F.year("InvoiceDate").alias("SalesYear"), sunday_week("InvoiceDate").alias("WeekNumber"))
+        .groupBy(F.year("InvoiceDate").alias("SalesYear"), week.alias("WeekNumber"))
         .agg(F.sum("Revenue").alias("WeeklyTotal"))
     )
     so_far = (

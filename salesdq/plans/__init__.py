@@ -5,9 +5,10 @@ from salesdq.plans.facts import (
     all_albums,
     artist_totals,
     invoice_sales,
+    line_sales,
     lines_per_invoice,
-    revenue_by_attributes,
     sales_per_track,
+    totals_by_attributes,
 )
 from salesdq.plans.joins import estimated_bytes, fits_broadcast, join_many_to_one, null_safe_lookup
 from salesdq.plans.ranking import running_total, top_k, top_ties
@@ -21,12 +22,13 @@ __all__ = [
     "fits_broadcast",
     "invoice_sales",
     "join_many_to_one",
+    "line_sales",
     "lines_per_invoice",
     "null_safe_lookup",
     "report",
-    "revenue_by_attributes",
     "running_total",
     "sales_per_track",
     "top_k",
     "top_ties",
+    "totals_by_attributes",
 ]

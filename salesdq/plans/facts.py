@@ -26,6 +26,11 @@ def roll_up(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
+def line_sales(lines: DataFrame) -> DataFrame:
+    """TrackId, Revenue of every line."""
+    return lines.select("TrackId", amount().alias("Revenue"))
+
+
 def sales_per_track(lines: DataFrame) -> DataFrame:
     """TrackId, Revenue, SoldLines; lines without a track form the NULL row."""
     return lines.groupBy("TrackId").agg(
@@ -64,17 +69,23 @@ def all_albums(albums: DataFrame, artists: DataFrame) -> DataFrame:
     return traced.select("AlbumId", "KnownArtist")
 
 
-def revenue_by_attributes(
-    lines: DataFrame, attributes: DataFrame, tracks: DataFrame
+def totals_by_attributes(
+    sales: DataFrame,
+    attributes: DataFrame,
+    tracks: DataFrame,
+    *,
+    by: Sequence[str] = (),
+    sums: Sequence[str] = ("Revenue",),
 ) -> DataFrame:
-    """Revenue by the columns that ``attributes``, a projection of ``tracks``, adds
-    to TrackId. Lines without a known track drop out."""
-    keys = [c for c in attributes.columns if c != "TrackId"]
+    """Sums of ``sales``, any number of rows per TrackId, by ``by`` and the columns
+    that ``attributes``, a projection or an inner join of ``tracks``, adds to TrackId.
+    Sales without a known track drop out."""
+    keys = [*by, *[c for c in attributes.columns if c != "TrackId"]]
     if fits_broadcast(tracks):
-        detail = lines.select("TrackId", amount().alias("Revenue")).join(F.broadcast(attributes), "TrackId")
+        traced = sales.join(F.broadcast(attributes), "TrackId")
     else:
-        detail = sales_per_track(lines).join(attributes, "TrackId")
-    return roll_up(detail, keys, ["Revenue"])
+        traced = roll_up(sales, ["TrackId", *by], sums).join(attributes, "TrackId")
+    return roll_up(traced, keys, sums)
 
 
 def artist_totals(
@@ -94,10 +105,8 @@ def artist_totals(
     """
     made_by = album_artists(albums, artists)
     made_on = tracks.select("TrackId", "AlbumId")
-    top = ["ArtistId", "ArtistName", *by]
     if fits_broadcast(tracks):
         path = made_on.join(made_by, "AlbumId").drop("AlbumId")
-        return roll_up(sales.join(F.broadcast(path), "TrackId"), top, sums)
-    per_track = roll_up(sales, ["TrackId", *by], sums)
-    per_album = roll_up(per_track.join(made_on, "TrackId"), ["AlbumId", *by], sums)
-    return roll_up(per_album.join(made_by, "AlbumId"), top, sums)
+        return totals_by_attributes(sales, path, tracks, by=by, sums=sums)
+    per_album = totals_by_attributes(sales, made_on, tracks, by=by, sums=sums)
+    return roll_up(per_album.join(made_by, "AlbumId"), ["ArtistId", "ArtistName", *by], sums)

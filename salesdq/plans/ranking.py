@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +26,17 @@ def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, rank: st
 def top_ties(df: DataFrame, group: list[str], measure: str) -> DataFrame:
     """All rows that reach their group's highest ``measure``.
 
-    Equal to ``rank() = 1``, but a maximum is combined before the shuffle and
-    the join back goes by (group, measure), so a group of any size, or with any
-    number of ties, is spread over tasks that the adaptive skew split can divide.
+    Equal to ``rank() = 1``, NULL measures and NULL groups included, but a maximum
+    is combined before the shuffle and the join back goes by (group, measure), so
+    a group of any size, or with any number of ties, is spread over tasks that the
+    adaptive skew split can divide.
     """
-    best = df.groupBy(*group).agg(F.max(measure).alias(measure))
-    return df.join(best, [*group, measure], "left_semi")
+    keys = [*group, measure]
+    best = df.groupBy(*[F.col(c).alias(f"_best_{c}") for c in group]).agg(
+        F.max(measure).alias(f"_best_{measure}")
+    )
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_best_{c}")) for c in keys))
+    return df.join(best, same, "left_semi")
 
 
 def _sort_parts(df: DataFrame, column: str, descending: bool) -> list[Column]:

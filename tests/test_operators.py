@@ -106,6 +106,15 @@ def test_namesakes_in_half_years(hand):
         revenue.half_year_trend(hand.invoice, hand.invoice_line, hand.track, hand.album, hand.artist, key="x")
 
 
+def test_best_artists_beyond_the_first(hand):
+    args = (hand.invoice, hand.invoice_line, hand.track, hand.album, hand.artist)
+    first = revenue.monthly_top_artist(*args)
+    three = revenue.monthly_top_artist(*args, k=3)
+    assert {r["MonthlyRank"] for r in first.collect()} == {1}
+    assert rows(three.filter("MonthlyRank = 1")) == rows(first)
+    assert three.count() > first.count()
+
+
 def test_weights_of_the_quality_score(hand):
     args = (hand.playlist, hand.playlist_track, hand.track, hand.invoice_line)
     sales = {r["PlaylistId"]: r for r in playlist.playlist_quality_score(*args).collect()}

@@ -50,7 +50,7 @@ def test_building_a_report_runs_no_job(spark):
     spark.sparkContext.setJobGroup("build", "building reports")
     try:
         for name, query in entry.queries().items():
-            if name != "impute_load":  # a load is meant to run
+            if not name.endswith("_load"):  # a load is meant to run
                 query(spark, SF_DIR)
         assert list(tracker.getJobIdsForGroup("build")) == []
     finally:
@@ -79,13 +79,15 @@ def test_filters_reach_the_scan(spark, store):
         store.invoice, store.invoice_line, store.track, store.album, store.artist))
 
 
-@pytest.mark.parametrize("name", ["rep_top_genre", "playlist_dominant_genre", "monthly_top_artist"])
+@pytest.mark.parametrize("name", ["rep_top_genre", "playlist_dominant_genre"])
 def test_best_per_group_is_limited_before_the_shuffle(spark, name):
     plan = planned(entry.queries()[name](spark, SF_DIR))
     assert plan.count("WindowGroupLimit") == 2  # partial and final
 
 
-@pytest.mark.parametrize("name", ["catalog_pareto", "genre_revenue_share", "playlist_quality_score"])
+@pytest.mark.parametrize(
+    "name", ["catalog_pareto", "genre_revenue_share", "playlist_quality_score", "monthly_top_artist"]
+)
 def test_lines_are_shuffled_once(spark, large, name):
     """However often a plan uses the sales per track, the line table is read once."""
     plan = final_plan(entry.queries()[name](spark, SF_DIR))
@@ -214,12 +216,15 @@ def test_running_total_cuts_a_hot_group(spark):
 
 def test_leaders_of_a_group_need_no_window(spark):
     counts = spark.createDataFrame(
-        [("a", "x", 2), ("a", "y", 2), ("a", "z", 1), ("b", "x", 1)], "g string, v string, n int"
+        [("a", "x", 2), ("a", "y", 2), ("a", "z", 1), ("b", "x", 1), ("c", "x", None), ("c", "y", None),
+         (None, "x", 3), (None, "y", None)],
+        "g string, v string, n int",
     )
     best = top_ties(counts, ["g"], "n")
     assert "Window" not in planned(best)
-    assert sorted(tuple(r) for r in best.select("g", "v", "n").collect()) == [
-        ("a", "x", 2), ("a", "y", 2), ("b", "x", 1)]
+    assert best.columns == ["g", "v", "n"]
+    assert {tuple(r) for r in best.collect()} == {
+        ("a", "x", 2), ("a", "y", 2), ("b", "x", 1), ("c", "x", None), ("c", "y", None), (None, "x", 3)}
 
 
 def test_a_hot_album_of_ties_is_split(spark):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salesdq.functions import (
     any_null,
+    calendar_week,
     full_name,
     is_missing,
     month_label,
@@ -19,7 +20,6 @@ from salesdq.functions import (
     null_count,
     percent,
     rounded_ratio,
-    sunday_week,
     weekday_name,
     weighted_stddev_pop,
 )
@@ -118,21 +118,22 @@ def test_names_and_missing_values(spark):
     ]
 
 
-def _week(day: dt.date) -> int:
-    """Week 1 holds 1 January; a new week begins on every Sunday after it."""
+def _week(day: dt.date, begins: int) -> int:
+    """Week 1 holds 1 January; a new week begins on every such weekday after it."""
     first = dt.date(day.year, 1, 1)
     days = (first + dt.timedelta(n) for n in range(1, (day - first).days + 1))
-    return 1 + sum(d.weekday() == 6 for d in days)
+    return 1 + sum(d.weekday() == begins for d in days)
 
 
 def test_calendar(spark):
     days = [dt.date(1994, 1, 1) + dt.timedelta(n) for n in range(0, 3650, 3)]
     days += [dt.date(y, m, d) for y in range(1994, 2004) for m, d in ((1, 1), (12, 31), (6, 30), (7, 1))]
     df = spark.createDataFrame([(dt.datetime.combine(d, dt.time(23, 59)),) for d in days], "t timestamp_ntz")
-    got = df.select("t", sunday_week("t"), weekday_name("t"), month_start("t").alias("m"))
+    got = df.select("t", calendar_week("t"), calendar_week("t", 2), weekday_name("t"), month_start("t").alias("m"))
     got = got.withColumn("label", month_label("m")).collect()
-    for t, week, weekday, month, label in got:
-        assert week == _week(t.date()), t
+    for t, week, from_monday, weekday, month, label in got:
+        assert week == _week(t.date(), 6), t
+        assert from_monday == _week(t.date(), 0), t
         assert weekday == t.strftime("%A")
         assert month == t.date().replace(day=1)
         assert label == t.strftime("%Y-%m")
