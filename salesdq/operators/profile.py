@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, any_null, full_name, is_missing, null_count, percent, rounded_ratio
-from salesdq.plans import lines_per_invoice, report
+from salesdq.plans import lines_per_invoice, period_sales, report
 from salesdq.plans.facts import LINE_FIELDS
 
 FIX_COLUMNS = ("CustomerId", "FirstName", "LastName", "Company", "City", "Country", "State")
@@ -276,11 +276,10 @@ def null_trend_daily(
     invoices: DataFrame, lines: DataFrame, *, fields: Sequence[str] = LINE_FIELDS
 ) -> DataFrame:
     """Lines and incomplete lines per invoice day."""
-    per_invoice = lines_per_invoice(lines, fields).select("InvoiceId", "Lines", "NullLines")
+    day = {"InvoiceDay": F.to_date("InvoiceDate")}
     return (
-        invoices.select("InvoiceId", "InvoiceDate")
-        .join(per_invoice, "InvoiceId")
-        .groupBy(F.to_date("InvoiceDate").alias("InvoiceDay"))
+        period_sales(invoices, lines, day, fields=fields)
+        .groupBy("InvoiceDay")
         .agg(F.sum("Lines").alias("TotalLines"), F.sum("NullLines").alias("NullLineCount"))
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, full_name, month_label, month_start, percent, rounded_ratio
-from salesdq.plans import artist_totals, report, top_k, totals_by_attributes
+from salesdq.plans import artist_totals, broadcast_if_small, report, top_k, totals_by_attributes
 from salesdq.plans.facts import roll_up
 
 TITLE = "Sales Support Agent"
@@ -143,9 +143,10 @@ def _rep_sales(
     clients = customers.select("CustomerId", F.col("SupportRepId").alias("EmployeeId")).join(
         reps, "EmployeeId"
     )
-    served = invoices.select("InvoiceId", "CustomerId").join(clients, "CustomerId")
+    placed = invoices.select("InvoiceId", "CustomerId")
+    served = placed.join(clients, "CustomerId").select("InvoiceId", "EmployeeId")
     detail = lines.select("InvoiceId", "TrackId", amount().alias("Revenue"))
-    return detail.join(served.select("InvoiceId", "EmployeeId"), "InvoiceId").drop("InvoiceId")
+    return detail.join(broadcast_if_small(served, placed), "InvoiceId").drop("InvoiceId")
 
 
 @report("employeeName", "-revenue", "artistName")

@@ -1,7 +1,7 @@
 """Sales over time: hours, weekdays, months, weeks and customers' pauses.
 
-Lines are summed per invoice, invoices per day or month, and only these bounded
-series (24 hours, 31 days, 54 weeks, the months on record) meet a window.
+Lines are summed per period through their invoices, and only these bounded series
+(24 hours, 31 days, 54 weeks, the months on record) meet a window.
 """
 
 from __future__ import annotations
@@ -20,46 +20,47 @@ from salesdq.functions import (
     rounded_ratio,
     weekday_name,
 )
-from salesdq.plans import invoice_sales, report, top_k
+from salesdq.plans import period_sales, report, top_k
 
 # fixed values: first and last hour of each named part of the day
 DAY_PARTS = ((6, 11, "morning"), (12, 17, "afternoon"), (18, 22, "evening"))
 
 
-def _volume(count: str) -> Column:
-    """Number of sales lines, or of the invoices they are on."""
-    if count == "lines":
-        return F.sum("Lines")
-    if count == "invoices":
-        return F.count(F.lit(1))
-    raise ValueError(f"count must be 'lines' or 'invoices', not {count!r}")
+def _by_period(
+    invoices: DataFrame, lines: DataFrame, periods: dict[str, Column], count: str = "lines"
+) -> DataFrame:
+    """The periods, _volume (sales lines, or the invoices they are on) and _revenue."""
+    if count not in ("lines", "invoices"):
+        raise ValueError(f"count must be 'lines' or 'invoices', not {count!r}")
+    by_invoice = count == "invoices"
+    volume = F.count(F.lit(1)) if by_invoice else F.sum("Lines")
+    return (
+        period_sales(invoices, lines, periods, per_invoice=by_invoice)
+        .groupBy(*periods)
+        .agg(volume.alias("_volume"), F.sum("Revenue").alias("_revenue"))
+    )
 
 
 def _monthly(invoices: DataFrame, lines: DataFrame) -> DataFrame:
-    return (
-        invoice_sales(invoices, lines)
-        .groupBy(month_start("InvoiceDate").alias("_month"))
-        .agg(F.sum("Revenue").alias("Revenue"))
-    )
+    monthly = _by_period(invoices, lines, {"_month": month_start("InvoiceDate")})
+    return monthly.select("_month", F.col("_revenue").alias("Revenue"))
 
 
 @report("HourOfDay")
 def hourly_sales(invoices: DataFrame, lines: DataFrame, *, count: str = "lines") -> DataFrame:
     """Sales by hour of the day. InvoiceCount counts lines unless count='invoices'."""
-    return (
-        invoice_sales(invoices, lines)
-        .groupBy(F.hour("InvoiceDate").alias("HourOfDay"))
-        .agg(_volume(count).alias("InvoiceCount"), F.round(F.sum("Revenue"), 2).alias("Revenue"))
+    hourly = _by_period(invoices, lines, {"HourOfDay": F.hour("InvoiceDate")}, count)
+    return hourly.select(
+        "HourOfDay", F.col("_volume").alias("InvoiceCount"), F.round("_revenue", 2).alias("Revenue")
     )
 
 
 @report("-InvoiceCount", "DayOfWeek")
 def weekday_sales(invoices: DataFrame, lines: DataFrame, *, count: str = "lines") -> DataFrame:
     """Sales by weekday. InvoiceCount counts lines unless count='invoices'."""
-    return (
-        invoice_sales(invoices, lines)
-        .groupBy(weekday_name("InvoiceDate").alias("DayOfWeek"))
-        .agg(_volume(count).alias("InvoiceCount"), F.sum("Revenue").alias("TotalRevenue"))
+    daily = _by_period(invoices, lines, {"DayOfWeek": weekday_name("InvoiceDate")}, count)
+    return daily.select(
+        "DayOfWeek", F.col("_volume").alias("InvoiceCount"), F.col("_revenue").alias("TotalRevenue")
     )
 
 
@@ -93,12 +94,10 @@ def revenue_drop(invoices: DataFrame, lines: DataFrame, *, ratio: float = 0.7) -
 @report("InvoiceDay", "HourOfDay")
 def peak_hour_share(invoices: DataFrame, lines: DataFrame, *, k: int = 1) -> DataFrame:
     """The best hour of each day, all of them on a tie, and its share of the day."""
+    periods = {"InvoiceDay": F.to_date("InvoiceDate"), "HourOfDay": F.hour("InvoiceDate")}
     hourly = (
-        invoice_sales(invoices, lines)
-        .groupBy(
-            F.to_date("InvoiceDate").alias("InvoiceDay"), F.hour("InvoiceDate").alias("HourOfDay")
-        )
-        .agg(F.sum("Revenue").alias("HourlyTotal"))
+        _by_period(invoices, lines, periods)
+        .withColumnRenamed("_revenue", "HourlyTotal")
         .withColumn("DailyTotal", F.sum("HourlyTotal").over(Window.partitionBy("InvoiceDay")))
     )
     best = top_k(hourly, ["InvoiceDay"], [F.desc("HourlyTotal")], k, "_rank", ties=True)
@@ -117,13 +116,9 @@ def weekend_split(
 ) -> DataFrame:
     """Invoices and revenue on weekends and on weekdays."""
     kind = F.when(weekday_name("InvoiceDate").isin(*weekend), "Weekend").otherwise("Weekday")
-    return (
-        invoice_sales(invoices, lines)
-        .groupBy(kind.alias("DayType"))
-        .agg(
-            _volume("invoices").alias("InvoiceCount"),
-            F.round(F.sum("Revenue"), 2).alias("TotalRevenue"),
-        )
+    split = _by_period(invoices, lines, {"DayType": kind}, "invoices")
+    return split.select(
+        "DayType", F.col("_volume").alias("InvoiceCount"), F.round("_revenue", 2).alias("TotalRevenue")
     )
 
 
@@ -162,10 +157,9 @@ def time_of_day_revenue(
     part = F
     for first, last, name in bands:
         part = part.when(hour.between(first, last), name)
-    return (
-        invoice_sales(invoices, lines)
-        .groupBy(part.otherwise(otherwise).alias("TimeWindow"))
-        .agg(_volume(count).alias("InvoiceCount"), F.round(F.sum("Revenue"), 2).alias("TotalRevenue"))
+    parts = _by_period(invoices, lines, {"TimeWindow": part.otherwise(otherwise)}, count)
+    return parts.select(
+        "TimeWindow", F.col("_volume").alias("InvoiceCount"), F.round("_revenue", 2).alias("TotalRevenue")
     )
 
 
@@ -195,15 +189,11 @@ def first_purchase_activity(invoices: DataFrame) -> DataFrame:
 @report("-VolatilityIndexPct", "RevenueMonth")
 def volatility_index(invoices: DataFrame, lines: DataFrame) -> DataFrame:
     """Spread of daily revenue per month; the index uses the rounded mean and deviation."""
-    daily = (
-        invoice_sales(invoices, lines)
-        .groupBy(F.to_date("InvoiceDate").alias("_day"))
-        .agg(F.sum("Revenue").alias("_total"))
-    )
+    daily = _by_period(invoices, lines, {"_day": F.to_date("InvoiceDate")})
     monthly = daily.groupBy(F.trunc("_day", "MM").alias("_month")).agg(
         F.count(F.lit(1)).alias("ActiveDays"),
-        rounded_ratio(F.sum("_total"), F.count("_total")).alias("AvgDailyRevenue"),
-        F.round(F.stddev_pop("_total").cast("decimal(30,8)"), 2).alias("StdDevRevenue"),
+        rounded_ratio(F.sum("_revenue"), F.count("_revenue")).alias("AvgDailyRevenue"),
+        F.round(F.stddev_pop("_revenue").cast("decimal(30,8)"), 2).alias("StdDevRevenue"),
     )
     return monthly.select(
         month_label("_month").alias("RevenueMonth"),
@@ -219,10 +209,9 @@ def weekly_cumulative(invoices: DataFrame, lines: DataFrame, *, first_day: int =
     """Revenue by calendar year and week, and its running sum; weeks begin on
     ``first_day`` (1 is Sunday) and are cut at the turn of the year."""
     week = calendar_week("InvoiceDate", first_day)
-    weekly = (
-        invoice_sales(invoices, lines)
-        .groupBy(F.year("InvoiceDate").alias("SalesYear"), week.alias("WeekNumber"))
-        .agg(F.sum("Revenue").alias("WeeklyTotal"))
+    periods = {"SalesYear": F.year("InvoiceDate"), "WeekNumber": week}
+    weekly = _by_period(invoices, lines, periods).select(
+        *periods, F.col("_revenue").alias("WeeklyTotal")
     )
     so_far = (
         Window.partitionBy("SalesYear")

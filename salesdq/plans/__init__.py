@@ -4,13 +4,19 @@ from salesdq.plans.facts import (
     album_artists,
     all_albums,
     artist_totals,
-    invoice_sales,
     line_sales,
     lines_per_invoice,
+    period_sales,
     sales_per_track,
     totals_by_attributes,
 )
-from salesdq.plans.joins import estimated_bytes, fits_broadcast, join_many_to_one, null_safe_lookup
+from salesdq.plans.joins import (
+    broadcast_if_small,
+    estimated_bytes,
+    fits_broadcast,
+    join_many_to_one,
+    null_safe_lookup,
+)
 from salesdq.plans.ranking import running_total, top_k, top_ties
 from salesdq.plans.report import report
 
@@ -18,13 +24,14 @@ __all__ = [
     "album_artists",
     "all_albums",
     "artist_totals",
+    "broadcast_if_small",
     "estimated_bytes",
     "fits_broadcast",
-    "invoice_sales",
     "join_many_to_one",
     "line_sales",
     "lines_per_invoice",
     "null_safe_lookup",
+    "period_sales",
     "report",
     "running_total",
     "sales_per_track",

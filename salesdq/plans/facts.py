@@ -10,9 +10,9 @@ so the order of summation cannot matter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, any_null
@@ -47,11 +47,29 @@ def lines_per_invoice(lines: DataFrame, fields: Sequence[str] = LINE_FIELDS) ->
     )
 
 
-def invoice_sales(invoices: DataFrame, lines: DataFrame) -> DataFrame:
-    """InvoiceId, InvoiceDate, Revenue, Lines of the invoices that have lines."""
-    return invoices.select("InvoiceId", "InvoiceDate").join(
-        lines_per_invoice(lines).select("InvoiceId", "Revenue", "Lines"), "InvoiceId"
+def period_sales(
+    invoices: DataFrame,
+    lines: DataFrame,
+    periods: Mapping[str, Column],
+    *,
+    fields: Sequence[str] = LINE_FIELDS,
+    per_invoice: bool = False,
+) -> DataFrame:
+    """The ``periods`` of invoice dates, Revenue, Lines and NullLines of lines on invoices.
+
+    One row per invoice that has lines; one row per line where the invoice table
+    fits a broadcast and ``per_invoice`` does not insist. Sums come out the same.
+    """
+    dated = invoices.select("InvoiceId", *[c.alias(name) for name, c in periods.items()])
+    if per_invoice or not fits_broadcast(dated):
+        return lines_per_invoice(lines, fields).join(dated, "InvoiceId").drop("InvoiceId")
+    detail = lines.select(
+        "InvoiceId",
+        amount().alias("Revenue"),
+        F.lit(1).alias("Lines"),
+        any_null(fields).cast("long").alias("NullLines"),
     )
+    return detail.join(F.broadcast(dated), "InvoiceId").drop("InvoiceId")
 
 
 def album_artists(albums: DataFrame, artists: DataFrame) -> DataFrame:

@@ -33,6 +33,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit > 0 and estimated_bytes(df) * COMPRESSION <= limit
 
 
+def broadcast_if_small(one: DataFrame, bound: DataFrame) -> DataFrame:
+    """``one``, marked for broadcast if ``bound``, which has at least as many rows, fits."""
+    return F.broadcast(one) if fits_broadcast(bound) else one
+
+
 def join_many_to_one(
     many: DataFrame,
     one: DataFrame,
