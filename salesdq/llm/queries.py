@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesdq.llm import bestfit, contamination, packing, shared, sharding, warc
+from salesdq.llm import bestfit, contamination, packing, quality, shared, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: dict[str, Query] = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_chunks": warc.op2_warc_chunks,
     "op3_best_fit_packing": bestfit.op3_best_fit_packing,
+    "op5_quality_rules": quality.op5_quality_rules,
     "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
     "op8_benchmark_containment": contamination.op8_benchmark_containment,
 }
@@ -31,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": quality.SQL}
