@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesdq.llm import bestfit, contamination, packing, quality, shared, sharding, warc
+from salesdq.llm import bestfit, contamination, identifiers, jaccard, packing, quality, repeats, shared, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: dict[str, Query] = {
@@ -14,8 +14,11 @@ OPERATORS: dict[str, Query] = {
     "op2_warc_chunks": warc.op2_warc_chunks,
     "op3_best_fit_packing": bestfit.op3_best_fit_packing,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_repeated_passages": repeats.op6_repeated_passages,
     "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
     "op8_benchmark_containment": contamination.op8_benchmark_containment,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
+    "op10_personal_data": identifiers.op10_personal_data,
 }
 
 
