@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesdq.llm import bestfit, contamination, identifiers, jaccard, packing, quality, repeats, shared, sharding, warc
+from salesdq.llm import bestfit, contamination, html_text, identifiers, jaccard, packing, quality, repeats, shared, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: dict[str, Query] = {
     "op1_sharding": sharding.op1_sharding,
     "op2_warc_chunks": warc.op2_warc_chunks,
     "op3_best_fit_packing": bestfit.op3_best_fit_packing,
+    "op4_main_text": html_text.op4_main_text,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_repeated_passages": repeats.op6_repeated_passages,
     "op7_concatenate_and_cut": packing.op7_concatenate_and_cut,
