@@ -13,9 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Declared types of money: prices as stored, and amounts whose sums are DECIMAL(38,2) however often they are summed up.
+PRICE, MONEY = "decimal(18,2)", "decimal(28,2)"
+
+
 def amount(price: str = "UnitPrice", quantity: str = "Quantity") -> Column:
-    """Line amount; NULL as soon as one factor is NULL."""
-    return F.col(price) * F.col(quantity)
+    """Line amount; NULL as soon as one factor is NULL. Prices of any numeric type count as PRICE."""
+    return (F.col(price).cast(PRICE) * F.col(quantity)).cast(MONEY)
 
 
 def rounded_ratio(num: Column, den: Column, digits: int = 2) -> Column:

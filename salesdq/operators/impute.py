@@ -49,7 +49,7 @@ def impute_candidates(
     """Suggestions for tracks without ``target``; tied values each give a suggestion."""
     gaps = tracks.filter(F.col(target).isNull()).select("TrackId", "Name", group)
     modes = group_modes(tracks, group, target, ties)
-    suggested = join_many_to_one(gaps, modes, group, bound=tracks, spread_by=["TrackId"])
+    suggested = join_many_to_one(gaps, modes, group, bound=tracks)
     return suggested.select(
         "TrackId", F.col("Name").alias("TrackName"), F.col("_mode").alias("SuggestedComposer")
     )
@@ -105,13 +105,14 @@ def impute_enriched_view(
     *,
     group: str = "AlbumId",
     target: str = "Composer",
-    ties: str = "all",
+    ties: str = "first",
     columns: Sequence[str] = TRACK_COLUMNS,
 ) -> DataFrame:
     """All tracks with ``target`` filled from the group's most frequent value.
 
-    With ties='all' every track of a group appears once per tied value, the
-    tracks that had a value included; ties='first' keeps one row per track.
+    One row per track; of tied values the smallest fills. With ties='all' every
+    track of a group appears once per tied value, the tracks that had a value
+    included: tracks times values, which only a group known to be small can bear.
     """
     modes = group_modes(tracks, group, target, ties)
     filled = null_safe_lookup(tracks, modes, group, spread_by=["TrackId"])
@@ -124,7 +125,7 @@ def impute_load(
     *,
     group: str = "AlbumId",
     target: str = "Composer",
-    ties: str = "all",
+    ties: str = "first",
 ) -> DataFrame:
     """Write the enriched tracks to ``destination`` and return what was stored.
 

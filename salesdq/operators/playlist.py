@@ -46,7 +46,7 @@ def _entries(
         pairs = pairs.withColumn("_copies", F.lit(1))
     elif pairs_unique is False:
         pairs = pairs.groupBy("PlaylistId", "TrackId").agg(F.count(F.lit(1)).alias("_copies"))
-    return join_many_to_one(pairs, per_track, "TrackId", bound=tracks, spread_by=["PlaylistId"])
+    return join_many_to_one(pairs, per_track, "TrackId", bound=tracks)
 
 
 def _named(per_playlist: DataFrame, playlists: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, any_null, full_name, is_missing, null_count, percent, rounded_ratio
+from salesdq.functions.semantics import MONEY, PRICE
 from salesdq.plans import lines_per_invoice, period_sales, report
 from salesdq.plans.facts import LINE_FIELDS
 
@@ -136,7 +137,7 @@ def audit_unassigned(customers: DataFrame, *, column: str = "SupportRepId") -> D
 @report()
 def audit_orphan_invoices(invoices: DataFrame, *, column: str = "CustomerId") -> DataFrame:
     """Invoices without a customer; an id of a customer that does not exist is not counted."""
-    return invoices.agg(F.count_if(F.col(column).isNull()).alias("orphanInvoiceCount"))
+    return invoices.filter(F.col(column).isNull()).agg(F.count(F.lit(1)).alias("orphanInvoiceCount"))
 
 
 @report()
@@ -155,7 +156,7 @@ def audit_blank_composer(
 @report()
 def audit_null_genre(tracks: DataFrame, *, column: str = "GenreId") -> DataFrame:
     """Tracks without a genre."""
-    return tracks.agg(F.count_if(F.col(column).isNull()).alias("nullGenreTrackCount"))
+    return tracks.filter(F.col(column).isNull()).agg(F.count(F.lit(1)).alias("nullGenreTrackCount"))
 
 
 @report()
@@ -163,7 +164,7 @@ def audit_broken_lines(
     lines: DataFrame, *, columns: Sequence[str] = ("UnitPrice", "Quantity")
 ) -> DataFrame:
     """Lines whose amount is unknown; a missing track does not break a line."""
-    return lines.agg(F.count_if(any_null(columns)).alias("brokenInvoiceLines"))
+    return lines.filter(any_null(columns)).agg(F.count(F.lit(1)).alias("brokenInvoiceLines"))
 
 
 @report()
@@ -190,7 +191,7 @@ def revenue_loss_estimate(lines: DataFrame, *, default_quantity: int = 1) -> Dat
     """Revenue of the complete lines, and an estimate for the others that prices a
     missing quantity at ``default_quantity``; without a price nothing is estimated."""
     broken = any_null(("UnitPrice", "Quantity"))
-    estimate = F.col("UnitPrice") * F.coalesce(F.col("Quantity"), F.lit(default_quantity))
+    estimate = (F.col("UnitPrice").cast(PRICE) * F.coalesce(F.col("Quantity"), F.lit(default_quantity))).cast(MONEY)
     return lines.agg(
         F.sum(broken.cast("long")).alias("AffectedRows"),
         F.sum(F.when(broken, 0).otherwise(amount())).alias("ValidRevenue"),
@@ -263,7 +264,7 @@ def null_rate_by_table(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
     )
 
 
-@report("-NullFieldCount", "InvoiceLineId")
+@report("-NullFieldCount", "InvoiceLineId", settle=True)
 def null_cluster_rows(
     lines: DataFrame, *, fields: Sequence[str] = LINE_FIELDS, key: str = "InvoiceLineId"
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, any_null, month_label, month_start, percent, rounded_ratio
@@ -24,6 +24,7 @@ from salesdq.plans import (
     totals_by_attributes,
 )
 from salesdq.plans.facts import LINE_FIELDS, roll_up
+from salesdq.plans.joins import null_safe_lookup
 
 
 def _dated_sales(
@@ -81,15 +82,18 @@ def genre_revenue_share(
     per_album = totals_by_attributes(
         line_sales(lines), tracks.select("TrackId", "GenreId", "AlbumId"), tracks
     )
-    totals = per_album.groupBy("GenreId").agg(F.sum("Revenue").alias("TotalGenreRevenue"))
-    named_totals = genres.select("GenreId", F.col("Name").alias("GenreName")).join(totals, "GenreId")
-    per_artist = roll_up(
-        per_album.filter(F.col("GenreId").isNotNull()).join(album_artists(albums, artists), "AlbumId"),
-        ["GenreId", "ArtistId", "ArtistName"],
-        ["Revenue"],
+    made = null_safe_lookup(
+        per_album.filter(F.col("GenreId").isNotNull()), album_artists(albums, artists), "AlbumId", spread_by=["GenreId"]
     )
+    per_artist = roll_up(made, ["GenreId", "ArtistId", "ArtistName"], ["Revenue"])
+    # one row per genre and artist, and one for all tracks that lead to no artist
+    whole = F.sum("Revenue").over(Window.partitionBy("GenreId"))
+    per_artist = per_artist.withColumn("TotalGenreRevenue", whole).filter(F.col("ArtistId").isNotNull())
     shares = join_many_to_one(
-        per_artist, named_totals, "GenreId", bound=genres, spread_by=["ArtistId"]
+        per_artist,
+        genres.select("GenreId", F.col("Name").alias("GenreName")),
+        "GenreId",
+        bound=genres,
     )
     return shares.select(
         "ArtistName",
@@ -143,6 +147,7 @@ def catalog_pareto(
         "TrackRevenue",
         running="_cumulative",
         total="ArtistTotalRevenue",
+        bound=tracks,
         slice_rows=slice_rows,
     )
     share = percent(F.col("_cumulative"), F.col("ArtistTotalRevenue"))

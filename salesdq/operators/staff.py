@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.functions import amount, full_name, month_label, month_start, percent, rounded_ratio
+from salesdq.functions.semantics import MONEY
 from salesdq.plans import artist_totals, broadcast_if_small, report, top_k, totals_by_attributes
 from salesdq.plans.facts import roll_up
 
@@ -22,7 +23,7 @@ def _reps(employees: DataFrame, title: str) -> DataFrame:
 def _customer_invoices(customers: DataFrame, invoices: DataFrame, how: str) -> DataFrame:
     """CustomerId, SupportRepId, Spent, Invoices: one row per customer."""
     spent = invoices.groupBy("CustomerId").agg(
-        F.sum("Total").alias("Spent"), F.count("InvoiceId").alias("Invoices")
+        F.sum(F.col("Total").cast(MONEY)).alias("Spent"), F.count("InvoiceId").alias("Invoices")
     )
     return customers.select("CustomerId", "SupportRepId").join(spent, "CustomerId", how)
 
@@ -76,7 +77,7 @@ def rep_monthly_load(
     """Invoices and revenue per representative and month; those without any keep a
     row with no month."""
     monthly = invoices.groupBy("CustomerId", month_start("InvoiceDate").alias("_month")).agg(
-        F.count("InvoiceId").alias("_n"), F.sum("Total").alias("_total")
+        F.count("InvoiceId").alias("_n"), F.sum(F.col("Total").cast(MONEY)).alias("_total")
     )
     per_rep = (
         customers.select("CustomerId", "SupportRepId")

@@ -3,9 +3,10 @@
 Every report that meets the line table starts here. Where the other table fits a
 broadcast, lines are joined as they are scanned and aggregated once. Beyond that
 size they are reduced to one row per key before the join: this combines a hot key
-inside each map task, leaves unique keys on both sides of the join, and costs no
-extra shuffle, because the join needs that very partitioning. Money is DECIMAL,
-so the order of summation cannot matter.
+inside each map task and leaves few rows per key to the join. Where the key is all
+that is grouped by, the join needs no further shuffle; with more columns (a month
+beside the track) the sums are exchanged once more. Money is DECIMAL, so the order
+of summation cannot matter.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def period_sales(
         F.lit(1).alias("Lines"),
         any_null(fields).cast("long").alias("NullLines"),
     )
-    return detail.join(F.broadcast(dated), "InvoiceId").drop("InvoiceId")
+    return detail.join(dated, "InvoiceId").drop("InvoiceId")  # small by its own estimate: Spark broadcasts it
 
 
 def album_artists(albums: DataFrame, artists: DataFrame) -> DataFrame:

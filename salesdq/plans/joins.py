@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single join task may get before the key is split.
-HOT_KEY_ROWS = 5_000_000
-# Tasks that share the rows whose lookup key is NULL.
-NULL_SLOTS = 1024
 # Estimates count compressed file bytes; a broadcast side is held uncompressed.
 COMPRESSION = 4
 
@@ -18,9 +14,9 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _broadcast_limit(df: DataFrame) -> int:
+def broadcast_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
     text = raw.strip().lower().removesuffix("b")
     if text and text[-1] in units:
         return int(text[:-1]) * units[text[-1]]
@@ -29,7 +25,7 @@ def _broadcast_limit(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is well within the session's limit for broadcasting a join side."""
-    limit = _broadcast_limit(df)
+    limit = broadcast_limit(df)
     return limit > 0 and estimated_bytes(df) * COMPRESSION <= limit
 
 
@@ -38,46 +34,23 @@ def broadcast_if_small(one: DataFrame, bound: DataFrame) -> DataFrame:
     return F.broadcast(one) if fits_broadcast(bound) else one
 
 
-def join_many_to_one(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    *,
-    bound: DataFrame,
-    spread_by: list[str],
-    hot_rows: int | None = None,
-) -> DataFrame:
+def join_many_to_one(many: DataFrame, one: DataFrame, key: str, *, bound: DataFrame) -> DataFrame:
     """Inner join of ``many`` rows per ``key`` to a side with one row (or a few).
 
     ``bound`` is a scan that has at least as many rows as ``one``. Where it fits
-    the session's broadcast limit, ``one`` is broadcast: its own estimate is no
-    guide, because Catalyst multiplies sizes across the joins that built it.
-
-    Otherwise both sides are shuffled. ``one`` comes out of an aggregation on the
-    same key, so Spark would not exchange it again, and without an exchange on
-    both sides the adaptive skew split does not apply. Keys with more than
-    ``hot_rows`` (HOT_KEY_ROWS) rows are therefore split here: their rows in ``one`` are
-    repeated per share and ``many`` is dealt out over the shares by a hash of
-    ``spread_by``; all other keys are joined as they are. There are fewer than
-    ``count(many) / hot_rows`` hot keys, 200,000 of them in 10^12 rows at the
-    very most, which bounds what is broadcast to some 4 MB.
+    the session's broadcast limit with headroom, ``one`` is broadcast: its own
+    estimate is no guide, because Catalyst multiplies sizes across the joins that
+    built it.
+
+    Otherwise both sides are shuffled and a hot key is left to the adaptive skew
+    split. ``one`` comes out of an aggregation on the same key, so Spark would
+    not exchange it again, and without an exchange on both sides the split does
+    not apply: a second join column, always 0, brings it about.
     """
     if fits_broadcast(bound):
         return many.join(F.broadcast(one), key)
-
-    hot_rows = hot_rows or HOT_KEY_ROWS
-    hot = (
-        many.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_shares"))
-    )
-    hot = F.broadcast(hot)
-    share = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_shares"), F.lit(1)))
-    dealt = many.join(hot, key, "left").withColumn("_share", share.cast("int")).drop("_shares")
-    shares = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - F.lit(1))
-    repeated = one.join(hot, key, "left").withColumn("_share", F.explode(shares)).drop("_shares")
-    return dealt.join(repeated, [key, "_share"]).drop("_share")
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return many.withColumn("_slot", zero).join(one.withColumn("_slot", zero), [key, "_slot"]).drop("_slot")
 
 
 def null_safe_lookup(
@@ -86,14 +59,15 @@ def null_safe_lookup(
     """Left join on a key that may be NULL in ``many``.
 
     A NULL key matches nothing, yet all such rows would hash to one task. A
-    second join column deals them out; it is 0 for every key that can match. On
+    second join column deals them out over more slots than there are shuffle partitions; it is 0 for every key that can match. On
     the other side the 0 is computed from the key: a literal would be folded into
     a filter, and the rows partitioned by the key alone again. The second column
     also makes Spark exchange both sides, which the adaptive skew split needs to
     divide a hot key.
     """
+    slots = max(1024, 16 * int(many.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     slot = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SLOTS))
+        F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(slots))
     ).otherwise(F.lit(0).cast("long"))
     zero = F.pmod(F.xxhash64(key), F.lit(1))
     return (

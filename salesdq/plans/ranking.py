@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesdq.plans.joins import broadcast_limit, estimated_bytes
+
 # Rows of one group that a single task sorts for a running total.
 SLICE_ROWS = 500_000
+# Cut points of one level between two of the next coarser one, and levels.
+FAN, LEVELS = 32, 3
 
 
 def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str, *, ties: bool) -> DataFrame:
@@ -64,6 +68,7 @@ def running_total(
     running: str,
     total: str,
     slice_rows: int | None = None,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running and the overall sum of ``value`` per group.
 
@@ -73,9 +78,11 @@ def running_total(
     consecutive rows:
 
     1. Rows whose hash falls on one value in ``slice_rows`` become cut points.
-       They only place the cuts; every row stays in the result. Groups below
-       that size have hardly any, and form one slice. All cuts together are one
-       row in ``slice_rows``, some 10 MB for 10^11 rows, and are broadcast.
+       They only place the cuts; every row stays in the result. Cuts come in
+       levels, each with FAN times as many as the coarser one; a row counts the
+       coarsest cuts before it, then the finer ones between its two coarser ones,
+       so it looks at some FAN cuts a level, not at all of its group. Cuts are
+       broadcast where an upper bound of their size is within the session's limit.
     2. Slice sums are added up over the few slices of each group.
     3. Within a slice the running sum is an ordinary window, shifted by what the
        earlier slices hold.
@@ -84,20 +91,33 @@ def running_total(
     """
     parts = [part for column, descending in order for part in _sort_parts(df, column, descending)]
     placed = df.withColumn("_position", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)]))
-    every = F.lit(slice_rows or SLICE_ROWS)
-    cuts = (
-        placed.filter(F.pmod(F.xxhash64(*[c for c, _ in order]), every) == 0)
-        .groupBy(group)
-        .agg(F.sort_array(F.collect_list("_position")).alias("_cuts"))
-    )
-    earlier_cuts = F.size(F.filter("_cuts", lambda cut: cut < F.col("_position")))
-    slice_number = F.when(F.col("_cuts").isNull(), 0).otherwise(earlier_cuts)
-    sliced = (
-        placed.join(F.broadcast(cuts), group, "left")
-        # never NULL; coalesce says so to the optimizer
-        .withColumn("_slice", F.coalesce(slice_number, F.lit(0)))
-        .drop("_cuts")
-    )
+    every = slice_rows or SLICE_ROWS
+    digest = F.xxhash64(*[c for c, _ in order])
+    # bound: a scan of at least as many rows, of 2 bytes or more each as stored; a cut has some 64 bytes
+    small = estimated_bytes(df if bound is None else bound) // 2 * 64 // every <= broadcast_limit(df)
+    keys: list[str] = [group]
+    sliced, cuts = placed, placed.filter(F.pmod(digest, F.lit(every)) == 0).withColumn("_digest", digest)
+    cuts = cuts.select(group, "_position", "_digest")
+    for level in range(LEVELS):
+        coarse = F.pmod("_digest", F.lit(every * FAN ** (LEVELS - 1 - level))) == 0
+        lists = cuts.filter(coarse).groupBy(*keys).agg(F.sort_array(F.collect_list("_position")).alias("_cuts"))
+        if small:
+            lists = F.broadcast(lists)
+        slot = f"_level{level}"
+
+        def number(rows: DataFrame, before) -> DataFrame:
+            earlier = F.size(F.filter("_cuts", lambda cut: before(cut, F.col("_position"))))
+            # never NULL; coalesce says so to the optimizer
+            counted = F.coalesce(F.when(F.col("_cuts").isNull(), 0).otherwise(earlier), F.lit(0))
+            return rows.join(lists, keys, "left").withColumn(slot, counted).drop("_cuts")
+
+        # a row that is a cut itself belongs to the slice before it, on every level
+        sliced = number(sliced, lambda cut, row: cut < row)
+        if level < LEVELS - 1:
+            cuts = number(cuts, lambda cut, row: cut < row)
+        keys = [*keys, slot]
+    slots = keys[1:]
+    sliced = sliced.withColumn("_slice", F.struct(*slots)).drop(*slots)
 
     # one row per slice: bounded by rows / slice_rows within a group
     by_group = Window.partitionBy(group)

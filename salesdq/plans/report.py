@@ -20,13 +20,14 @@ def _sort_key(spec: SortSpec) -> Column:
     return F.desc(spec[1:]) if spec.startswith("-") else F.asc(spec)
 
 
-def report(*order: SortSpec) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+def report(*order: SortSpec, settle: bool = False) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
     """Mark a function as a report whose result is sorted by ``order``.
 
     Every report takes ``ordered=False`` to leave the final sort out, for callers
     that go on to write or join a large result. Listings end their order in an
     id, so that the range partitioning behind the sort can split equal leading
-    values over many tasks.
+    values over many tasks. ``settle`` is for a sort that would stand on a scan: its
+    rows are exchanged once before it, so that sampling them does not scan again.
     """
 
     def decorate(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -34,6 +35,8 @@ def report(*order: SortSpec) -> Callable[[Callable[..., DataFrame]], Callable[..
         def run(*args, ordered: bool = True, **kwargs) -> DataFrame:
             result = build(*args, **kwargs)
             if ordered and order:
+                if settle:
+                    result = result.repartition(F.xxhash64(*result.columns))
                 result = result.orderBy(*[_sort_key(spec) for spec in order])
             return result
 

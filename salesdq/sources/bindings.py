@@ -107,10 +107,13 @@ VIEWS = {
                cast(value as decimal(18,2)) as Total
         from {events} where event_type = 'purchase'""",
     "s_purchase_line": """
-        select event_id as InvoiceLineId, event_id as InvoiceId, user_id as TrackId,
+        select event_id * 2 as InvoiceLineId, event_id as InvoiceId, user_id as TrackId,
                case when event_id % 19 = 0 then null else cast(value as decimal(18,2)) end as UnitPrice,
                cast(1 + event_id % 3 as int) as Quantity
-        from {events} where event_type = 'purchase'""",
+        from {events} where event_type = 'purchase'
+        union all
+        select event_id * 2 + 1, event_id, user_id + 1, cast(value as decimal(18,2)), cast(1 as int)
+        from {events} where event_type = 'purchase' and event_id % 4 = 0""",
 }
 
 

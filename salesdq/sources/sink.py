@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -54,6 +53,27 @@ def check_key(df: DataFrame, key: Sequence[str]) -> None:
         raise KeyViolation(f"{values} occurs {offender[0]['_rows']} time(s)")
 
 
+def _shaped(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+    return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def _replace(spark: SparkSession, new: str, destination: str) -> None:
+    """Move a written folder to its destination; what was there is removed only afterwards, or put back."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(destination)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(f"{destination}.old-{uuid.uuid4().hex}")
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise OSError(f"cannot move {destination}")
+    if not files.rename(source, target):
+        if had:
+            files.rename(old, target)
+        raise OSError(f"cannot move {new}")
+    if had:
+        files.delete(old, True)
+
+
 def load(
     df: DataFrame,
     destination: str,
@@ -64,14 +84,20 @@ def load(
 ) -> DataFrame:
     """Replace the files at ``destination`` by ``df`` and return what was stored.
 
-    With ``schema`` columns are cast to the declared types; a key is checked
-    before anything stored so far is touched.
+    With ``schema`` columns are cast to the declared types. The rows are written
+    once, beside the destination; a key is checked on what was written; only
+    then do the new files take the old ones' place. Whatever fails before leaves
+    the old table as it was.
     """
-    shaped = df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    spark, shaped = df.sparkSession, _shaped(df, schema)
+    destination = destination.rstrip("/")
+    beside = f"{destination}.new-{uuid.uuid4().hex}"
+    shaped.write.format(file_format).save(beside)
+    reader = spark.read.format(file_format).schema(shaped.schema)
     if key:
-        check_key(shaped, key)
-    shaped.write.mode("overwrite").format(file_format).save(destination)
-    return df.sparkSession.read.format(file_format).schema(shaped.schema).load(destination)
+        check_key(reader.load(beside), key)
+    _replace(spark, beside, destination)
+    return reader.load(destination)
 
 
 def load_result(df: DataFrame, table: str, destination: str) -> DataFrame:
@@ -82,22 +108,21 @@ def load_result(df: DataFrame, table: str, destination: str) -> DataFrame:
 def load_catalog_table(
     df: DataFrame, table: str, *, schema: T.StructType | None = None, key: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace a catalog table by ``df`` and return the table."""
-    shaped = df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    """Replace a catalog table by ``df`` and return the table; written beside, checked, then renamed."""
+    spark, shaped = df.sparkSession, _shaped(df, schema)
+    beside = f"{table}_new_{uuid.uuid4().hex}"
+    shaped.write.saveAsTable(beside)
     if key:
-        check_key(shaped, key)
-    shaped.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A new folder for ``name`` below the session's spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="salesdq-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        try:
+            check_key(spark.table(beside), key)
+        except KeyViolation:
+            spark.sql(f"DROP TABLE {beside}")
+            raise
+    if spark.catalog.tableExists(table):
+        old = f"{table}_old_{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    return spark.table(table)

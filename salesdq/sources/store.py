@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesdq.functions.semantics import PRICE
+
 # fixed values: the columns each table provides
 TABLE_COLUMNS = {
     "Customer": (
@@ -24,8 +26,11 @@ TABLE_COLUMNS = {
 }
 
 
+MONEY_COLUMNS = ("UnitPrice", "Total")
+
+
 def read_table(spark: SparkSession, source: str, file_format: str | None = None) -> DataFrame:
-    """All rows of a catalog table, or of files when ``file_format`` is given."""
+    """All rows of a catalog table, or of files (Parquet, ORC) when ``file_format`` is given."""
     if file_format is None:
         return spark.table(source)
     return spark.read.format(file_format).load(source)
@@ -35,10 +40,16 @@ def conform(df: DataFrame, table: str, columns: Mapping[str, str] | None = None)
     """Rename a user's columns to those of ``table`` and drop the others.
 
     ``columns`` maps the expected name to the user's; names left out are taken as
-    they are. Nothing is copied: this is a projection the scan absorbs.
+    they are. Prices and totals become PRICE, whatever numeric type they had.
+    Nothing is copied: this is a projection the scan absorbs.
     """
     renamed = columns or {}
-    return df.select(*[df[renamed.get(name, name)].alias(name) for name in TABLE_COLUMNS[table]])
+
+    def column(name: str):
+        found = df[renamed.get(name, name)]
+        return (found.cast(PRICE) if name in MONEY_COLUMNS else found).alias(name)
+
+    return df.select(*[column(name) for name in TABLE_COLUMNS[table]])
 
 
 @dataclass(frozen=True)
