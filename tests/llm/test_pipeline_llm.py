@@ -1,0 +1,37 @@
+"""The pipeline's stages on the odd documents, and the registered queries' contracts."""
+
+import duckdb
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from salesdq.llm import shared
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_all_operators_are_registered():
+    names = set(entry.queries())
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+
+
+def test_stages_keep_columns_and_clean_documents(spark, corpus):
+    docs = corpus.select("doc_id", "text", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = shared.stored(stage(spark, docs, SF_DIR), "stage")
+        if name != "packing":
+            assert docs.columns == before.columns
+        if name == "n-gram Jaccard join":
+            ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+            assert len(ids) == len(set(ids)) and not {101, 102, 201, 202} & set(ids)
+    assert docs.count() > 0
+
+
+def test_quality_equals_its_sql(spark):
+    connection = duckdb.connect()
+    for table in ("documents", "labels"):
+        connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
+    result = connection.execute(entry.oracle_sql()["op5_quality_rules"])
+    names = [d[0] for d in result.description]
+    got = sorted(tuple(r[n] for n in names) for r in entry.queries()["op5_quality_rules"](spark, SF_DIR).collect())
+    assert got == sorted(result.fetchall())
