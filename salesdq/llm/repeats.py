@@ -214,10 +214,11 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     recurring = rows.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("anchor")
     hits = rows.join(recurring, "anchor").join(first.withColumnRenamed("least", "doc_id"), ["key", "doc_id"])
     runs = hits.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
-    candidates = shared.stored(known.join(runs, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "candidates")
-    covered = _located(_stretches(candidates), shared.partitions(documents)).distinct()
+    # both joins of texts are on the same keys, so Spark shuffles the texts once for the two
+    stretches = _stretches(known.join(runs, ["doc_id", "key"]))
+    covered = _located(stretches, shared.partitions(documents)).distinct()
     covered = covered.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n")).alias("covered"))
-    removed = _removed(candidates.join(covered, ["doc_id", "key"]))
+    removed = _removed(known.join(covered, ["doc_id", "key"])).dropDuplicates(["doc_id", "key"])
     removed = removed.select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "gone", "rest")
     joined = facts.join(first, "key", "left").join(removed, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("k")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
