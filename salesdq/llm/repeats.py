@@ -217,7 +217,8 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     candidates = shared.stored(known.join(runs, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "candidates")
     covered = _located(_stretches(candidates), shared.partitions(documents)).distinct()
     covered = covered.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n")).alias("covered"))
-    removed = _removed(candidates.join(covered, ["doc_id", "key"]))
+    # the runs have served: without them less is shuffled
+    removed = _removed(candidates.drop("runs").join(covered, ["doc_id", "key"]))
     removed = removed.select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "gone", "rest")
     joined = facts.join(first, "key", "left").join(removed, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("k")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
