@@ -222,6 +222,7 @@ def test_items_are_found_in_long_documents(spark, corpus):
     docs = spark.createDataFrame(long, "doc_id long, text string").unionByName(corpus.select("doc_id", "text"))
     items = [(i, " ".join(f"Q{i}W{k}" for k in range(20))) for i in range(5)]  # another case
     items += [(5, " ".join([f"q0w{k}" for k in range(18)] + ["new", "words"])), (6, " ".join([f"q0w{k}" for k in range(9)] + [f"z{k}" for k in range(11)]))]
+    items += [(20 + k, " ".join(f"f{k % 5}x{j}" for j in range(97 * k, 97 * k + 5 + k % 4))) for k in range(40)]  # one to four shingles
     items += [(7, "too short"), (8, None), (9, ""), (0, items[0][1]), (10, " ".join(f"f3x{k}" for k in range(300)))]
     got = Counter(tuple(r)[:2] for r in contamination.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect())
 
@@ -231,6 +232,7 @@ def test_items_are_found_in_long_documents(spark, corpus):
 
     want = Counter((i, k) for i, t in texts(docs) for k, q in items if shingles(q) and len(shingles(q) & shingles(t)) >= 0.8 * len(shingles(q)))
     assert got == want and want[(900, 0)] == 2 and want[(900, 5)] == 1 and want[(903, 10)] == 1
+    assert all(want[(900 + k % 5, 20 + k)] == 1 for k in range(40))
     assert contamination.contained_items(docs.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert contamination.contained_items(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
