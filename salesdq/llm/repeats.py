@@ -214,11 +214,13 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     recurring = rows.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("anchor")
     hits = rows.join(recurring, "anchor").join(first.withColumnRenamed("least", "doc_id"), ["key", "doc_id"])
     runs = hits.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
-    candidates = shared.stored(known.join(runs, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "candidates")
-    covered = _located(_stretches(candidates), shared.partitions(documents)).distinct()
-    covered = covered.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n")).alias("covered"))
-    # the runs have served: without them less is shuffled
-    removed = _removed(candidates.drop("runs").join(covered, ["doc_id", "key"]))
+    parts, row = shared.partitions(documents), ["doc_id", "key"]
+    # texts are shuffled once: their table keeps the partitions for the second join
+    candidates = known.repartition(parts, *row).join(runs, row).dropDuplicates(row)
+    candidates = shared.bucketed(candidates, "candidates", row, parts)
+    covered = _located(_stretches(candidates), parts).repartition(parts, *row)
+    covered = covered.groupBy(*row).agg(F.collect_set(F.struct("start", "n")).alias("covered"))
+    removed = _removed(candidates.drop("runs").join(covered, row))
     removed = removed.select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "gone", "rest")
     joined = facts.join(first, "key", "left").join(removed, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("k")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)

@@ -28,6 +28,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Like ``stored``, as an external table of ``buckets`` buckets by ``keys``, so that a join on them shuffles only its other side.
+
+    ``df`` should be partitioned by the keys into as many partitions already; each then writes one bucket.
+    """
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, *keys).option("path", folder(spark, name)).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def partitions(df: DataFrame) -> int:
     """Partitions for what is as large as ``df``: those it is read in, or the session's shuffle partitions if more."""
     return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
