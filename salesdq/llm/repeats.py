@@ -214,6 +214,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     recurring = rows.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("anchor")
     hits = rows.join(recurring, "anchor").join(first.withColumnRenamed("least", "doc_id"), ["key", "doc_id"])
     runs = hits.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
+    runs = shared.stored(runs, "runs")
     parts, row = shared.partitions(documents), ["doc_id", "key"]
     # texts are shuffled once: their table keeps the partitions for the second join
     candidates = known.repartition(parts, *row).join(runs, row).dropDuplicates(row)

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +22,27 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting that removes the shuffle files of a query when it ends.
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _freeing(spark: SparkSession) -> Iterator[None]:
+    """What is written inside gives its shuffle files back at once: nothing reads them again."""
+    before = spark.conf.get(FREE, None)
+    spark.conf.set(FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE) if before is None else spark.conf.set(FREE, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there, and a lost executor costs no rerun."""
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    with _freeing(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,7 +52,8 @@ def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFra
     ``df`` should be partitioned by the keys into as many partitions already; each then writes one bucket.
     """
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, *keys).option("path", folder(spark, name)).format("parquet").saveAsTable(table)
+    with _freeing(spark):
+        df.write.bucketBy(buckets, *keys).option("path", folder(spark, name)).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
