@@ -13,6 +13,8 @@ from salesdq.llm import contamination, identifiers, jaccard, packing, quality, s
 
 #: Most rows of decisions (16 bytes each) that are broadcast; beyond, documents are shuffled to them.
 BROADCAST_DECISIONS = 4_000_000
+#: Near copies share this percentage of their shingles of so many words; op9's own contract (3 words, 90) binds only op9.
+COPY_WIDTH, COPY_PERCENT = 5, 80
 
 
 def _kept(docs: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -31,9 +33,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, that with the least doc_id; of repeated rows with that id, one."""
+    """One document of each component of near copies (0.8 of five-word shingles), that with the least doc_id; of repeated rows with that id, one."""
     shared.ship(spark)
-    joined = jaccard.jaccard_components(docs)
+    joined = jaccard.jaccard_components(docs, COPY_PERCENT, COPY_WIDTH)
     kept = _kept(docs, joined.where("not (doc_id <=> component_id)"))
     repeated = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
     repeated = shared.stored(repeated, "repeated")

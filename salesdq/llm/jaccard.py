@@ -1,6 +1,6 @@
 """Similarity join of documents on word shingles, by set size: subsets for small sets, inverted lists for large ones.
 
-Two sets link when their Jaccard similarity is at least PERCENT / 100. Equal sets are one node throughout, so a group of copies
+Two sets link when their Jaccard similarity is at least PERCENT / 100; callers may give another width and percentage. Equal sets are one node throughout, so a group of copies
 counts once, however large. Small sets enumerate their subsets of one element less; large sets meet in
 inverted lists of their rarest elements. Lists only say which sets may link: each chain of lists is one cluster, whose
 whole sets are brought together once, in blocks, and compared there by scanning the inverted lists of all their
@@ -42,11 +42,11 @@ def boundary(percent: int = PERCENT) -> int:
     return max(u for u in range(1, one_less + 1) if u <= 2 * u / 5 + 2 * u)
 
 
-def _sets(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sets(w: W.Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct elements of all rows in order of (row, element), their rows, and each row's size."""
-    at, h = w.shingles(WIDTH)
+    at, h = w.shingles(width)
     row, rows, counts, begins = w.row[at], w.last - w.first, w.counts(), w.begins()
-    for short in range(1, WIDTH):  # the whole sequence as one
+    for short in range(1, width):  # the whole sequence as one
         these = np.flatnonzero(counts == short)
         if len(these):
             whole = W.combined(w.hashes, short)[begins[these]] ^ np.uint64(short)
@@ -77,7 +77,7 @@ def prefix(n, percent: int = PERCENT):
     return n - (percent * n + 99) // 100 + 1
 
 
-def shingle_sets(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def shingle_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Per row: doc_id, set size n, key; for large sets the elements that can be in the prefix, and for small ones the keys of
     the subsets of one element less. s counts the elements of the sample."""
     edge = boundary(percent)
@@ -87,7 +87,7 @@ def shingle_sets(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         for batch in parts:
             ids = batch.column("doc_id")
             for w in W.split(batch.column("text"), lower=True):
-                h, row, n = _sets(w)
+                h, row, n = _sets(w, width)
                 key, part = _keys(h, n)
                 s = np.bincount(row[h < SAMPLE], minlength=len(n))
                 rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
@@ -155,14 +155,14 @@ def _links(sizes: np.ndarray, elements: np.ndarray, percent: int) -> list[tuple[
     return out
 
 
-def _compared(documents: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _compared(documents: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) between the sets of each cluster; members: doc_id, key, cluster, block and blocks."""
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             rest = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "cluster", "block", "blocks")}
             for w in W.split(batch.column("text"), lower=True):
-                h, _, n = _sets(w)
+                h, _, n = _sets(w, width)
                 key, _ = _keys(h, n)
                 ends, out = np.cumsum(n), []
                 for i in range(len(n)):
@@ -209,14 +209,14 @@ def _compared(documents: DataFrame, members: DataFrame, percent: int) -> DataFra
     return groups.mapInArrow(compare, "a long, b long")
 
 
-def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Per row: doc_id, n_shingles (size of its set) and component_id (least doc_id reachable by links).
 
-    A set holds the distinct shingles of WIDTH words (A-Z in lower case); a text of fewer words is one element; a null
+    A set holds the distinct shingles of ``width`` words (A-Z in lower case); a text of fewer words is one element; a null
     text or one without words has an empty set, links with nothing and is its own component. Repeated rows have equal sets. A null
     doc_id takes part, but is nobody's component_id unless all of its component are null. Other columns are left out.
     """
-    sets = shared.stored(shingle_sets(documents, percent), "sets")
+    sets = shared.stored(shingle_sets(documents, percent, width), "sets")
     classes = sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"))
     classes = shared.stored(classes, "classes")
     clusters = _clusters(sets, percent)
@@ -228,7 +228,7 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
         F.col("least").alias("doc_id"), F.col("node").alias("key"), F.col("component").alias("cluster"),
         F.expr("pmod(xxhash64(node), blocks)").alias("block"), "blocks",
     )
-    links = _compared(documents, members, percent)
+    links = _compared(documents, members, percent, width)
     fewer = sets.where(F.size("subsets") > 0).dropDuplicates(["key"]).select(F.col("key").alias("a"), "n", F.explode("subsets").alias("b"))
     one_less = fewer.join(classes.select(F.col("key").alias("b"), F.col("n").alias("m")), "b").where("m = n - 1").select("a", "b")
     found = connected_components(links.unionByName(one_less), "links")

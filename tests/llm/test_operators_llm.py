@@ -282,6 +282,45 @@ def test_jaccard_around_the_boundary(spark, corpus):
     assert Counter(map(tuple, jaccard.jaccard_components(df).collect())) == brute_components(rows)
 
 
+def brute_links(rows, percent, width):
+    """Least id reachable by links of ``percent`` on shingles of ``width`` words, null ids taking part: (id, set size, component)."""
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").translate(lower))
+        sets.append(set(zip(*(w[k:] for k in range(width)))) if len(w) >= width else ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if group[a] != group[b] and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    least = {}
+    for g, (i, _) in zip(group, rows):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    return Counter((i, len(s), least.get(g) if s else i) for g, s, (i, _) in zip(group, sets, rows))
+
+
+def replaced(words, places, tag):
+    return " ".join(f"{tag}{k}" if k in places else w for k, w in enumerate(words))
+
+
+@pytest.mark.parametrize("percent, width", [(80, 5), (90, 3)])
+def test_jaccard_between_the_two_laws(spark, corpus, percent, width):
+    rows = texts(corpus)
+    for k in range(12):  # 200 words, one to six of them replaced: 0.81 of five words and 0.886 of three with four of them
+        base = [f"l{k}w{j}" for j in range(200)]
+        rows += [(2000 + 2 * k, " ".join(base)), (2001 + 2 * k, replaced(base, range(20, 20 + 30 * (1 + k % 6), 30), "other"))]
+    for n in range(5, 24):  # around the boundary of subsets and lists
+        base = [f"s{n}w{j}" for j in range(n)]
+        for j, words in enumerate((base, base[1:], base[:-1], base + ["x"], base[2:], ["y"] + base + ["z"])):
+            rows.append((3000 + 10 * n + j, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_links(rows, percent, width)
+    assert (want[(2007, 196 if width == 5 else 198, 2006)] == 1) == (width == 5)
+    assert Counter(map(tuple, jaccard.jaccard_components(df, percent, width).collect())) == want
+
+
 def test_components_of_a_long_chain(spark, corpus):
     edges = [(i, i + 1) for i in range(200)] + [(500, 501), (500, 502), (7, 7)]
     got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))

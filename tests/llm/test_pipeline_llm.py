@@ -35,3 +35,10 @@ def test_quality_equals_its_sql(spark):
     names = [d[0] for d in result.description]
     got = sorted(tuple(r[n] for n in names) for r in entry.queries()["op5_quality_rules"](spark, SF_DIR).collect())
     assert got == sorted(result.fetchall())
+
+
+def test_near_copies_share_four_fifths_of_five_words(spark, corpus):
+    words = [f"w{k}" for k in range(200)]
+    other = [f"x{k}" if k in (30, 70, 110, 150) else w for k, w in enumerate(words)]  # 0.81 of five words, 0.886 of three
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "quite another text")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, docs, SF_DIR).collect()) == [1, 3]
