@@ -28,7 +28,7 @@ BLOCK_SETS, BLOCK_ELEMENTS = 1500, 1 << 20
 #: Rows of (document, cluster) that are broadcast at most, 24 bytes each; beyond, documents are shuffled to them.
 BROADCAST_MEMBERS = 2_000_000
 
-SETS = "doc_id long, n long, key long, s long, elements array<long>, subsets array<long>"
+SETS = "doc_id long, place long, n long, key long, s long, elements array<long>, subsets array<long>"
 
 
 def boundary(percent: int = PERCENT) -> int:
@@ -78,14 +78,14 @@ def prefix(n, percent: int = PERCENT):
 
 
 def shingle_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """Per row: doc_id, set size n, key; for large sets the elements that can be in the prefix, and for small ones the keys of
+    """Per row: doc_id, place (hash of doc_id and text), set size n, key; for large sets the elements that can be in the prefix, and for small ones the keys of
     the subsets of one element less. s counts the elements of the sample."""
     edge = boundary(percent)
     least_large = (percent * (edge + 1) + 99) // 100
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            ids = batch.column("doc_id")
+            ids, places = batch.column("doc_id"), batch.column("place")
             for w in W.split(batch.column("text"), lower=True):
                 h, row, n = _sets(w, width)
                 key, part = _keys(h, n)
@@ -96,11 +96,12 @@ def shingle_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDT
                 # a set of n and one of n - 1 elements link if (n - 1) / n is enough
                 small = (n <= edge) & (100 * (n - 1) >= percent * n) & (n > 1)
                 less = (key[row] - part)[small[row]]
-                columns = [ids.slice(w.first, w.last - w.first), pa.array(n), pa.array(key.view(np.int64)), pa.array(s)]
+                columns = [x.slice(w.first, w.last - w.first) for x in (ids, places)]
+                columns += [pa.array(n), pa.array(key.view(np.int64)), pa.array(s)]
                 columns += [_lists(h[first], np.minimum(most, n)), _lists(less, np.where(small, n, 0))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "s", "elements", "subsets"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "n", "key", "s", "elements", "subsets"])
 
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), shared.row_key().alias("place"))
     return source.mapInArrow(run, SETS)
 
 
@@ -156,9 +157,10 @@ def _links(sizes: np.ndarray, elements: np.ndarray, percent: int) -> list[tuple[
 
 
 def _compared(documents: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) between the sets of each cluster; members: doc_id, key, cluster, block and blocks."""
+    """Links (a, b) between the sets of each cluster; members: place, key, cluster, block and blocks."""
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # of repeated rows with one place a task sends the first
         for batch in parts:
             rest = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "cluster", "block", "blocks")}
             for w in W.split(batch.column("text"), lower=True):
@@ -167,7 +169,8 @@ def _compared(documents: DataFrame, members: DataFrame, percent: int, width: int
                 ends, out = np.cumsum(n), []
                 for i in range(len(n)):
                     k, c, b, m = (rest[x][w.first + i] for x in ("key", "cluster", "block", "blocks"))
-                    if key.view(np.int64)[i] == k:  # else another row with this doc_id
+                    if key.view(np.int64)[i] == k and k not in sent:  # another key: the places clash
+                        sent.add(k)
                         own = h[ends[i] - n[i] : ends[i]].tobytes()
                         out += [(c, min(b, j), max(b, j), k, own) for j in range(m)]
                 if out:
@@ -202,8 +205,8 @@ def _compared(documents: DataFrame, members: DataFrame, percent: int, width: int
         yield taken()
 
     small = members.count() <= BROADCAST_MEMBERS
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = source.join(F.broadcast(members) if small else members, "doc_id").select("text", "key", "cluster", "block", "blocks")
+    source = documents.select(F.col("text").cast("string").alias("text"), shared.row_key().alias("place"))
+    chosen = source.join(F.broadcast(members) if small else members, "place").select("text", "key", "cluster", "block", "blocks")
     spread = chosen.mapInArrow(sets, "cluster long, i long, j long, key long, own binary")
     groups = spread.repartition(shared.partitions(documents), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return groups.mapInArrow(compare, "a long, b long")
@@ -217,15 +220,17 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     doc_id takes part, but is nobody's component_id unless all of its component are null. Other columns are left out.
     """
     sets = shared.stored(shingle_sets(documents, percent, width), "sets")
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"))
+    # the place of a row with the least doc_id, or of any if all are null: there the text is found again
+    place = F.coalesce(F.min_by("place", "doc_id"), F.min("place")).alias("place")
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), place)
     classes = shared.stored(classes, "classes")
     clusters = _clusters(sets, percent)
-    placed = clusters.join(classes.select(F.col("key").alias("node"), "least", "n"), "node").where("least is not null")
+    placed = clusters.join(classes.select(F.col("key").alias("node"), "place", "n"), "node")
     clusters = shared.stored(placed, "members")
     sized = clusters.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("e"))
     blocks = F.greatest(F.expr(f"(m + {BLOCK_SETS - 1}) div {BLOCK_SETS}"), F.expr(f"(e + {BLOCK_ELEMENTS - 1}) div {BLOCK_ELEMENTS}"))
     members = clusters.join(sized.select("component", blocks.alias("blocks")), "component").select(
-        F.col("least").alias("doc_id"), F.col("node").alias("key"), F.col("component").alias("cluster"),
+        "place", F.col("node").alias("key"), F.col("component").alias("cluster"),
         F.expr("pmod(xxhash64(node), blocks)").alias("block"), "blocks",
     )
     links = _compared(documents, members, percent, width)

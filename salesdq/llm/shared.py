@@ -9,7 +9,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -57,6 +58,11 @@ def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFra
     return spark.table(table)
 
 
+def row_key() -> Column:
+    """A hash of doc_id and text, null-safe: rows agree in it if they agree in both."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def partitions(df: DataFrame) -> int:
     """Partitions for what is as large as ``df``: those it is read in, or the session's shuffle partitions if more."""
     return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

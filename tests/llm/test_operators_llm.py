@@ -321,6 +321,18 @@ def test_jaccard_between_the_two_laws(spark, corpus, percent, width):
     assert Counter(map(tuple, jaccard.jaccard_components(df, percent, width).collect())) == want
 
 
+def test_null_ids_link_like_others(spark, corpus):
+    base, chain, lone = ([f"{x}{j}" for j in range(100)] for x in ("n", "c", "o"))
+    rows = [(5, " ".join(base)), (None, replaced(base, {50}, "x")), (None, replaced(base, {50}, "x"))]
+    # two documents joined only by a text without an id, and texts without ids only
+    rows += [(11, replaced(chain, {0, 1, 2}, "x")), (None, " ".join(chain)), (12, replaced(chain, {97, 98, 99}, "y"))]
+    rows += [(None, " ".join(lone)), (None, replaced(lone, {50}, "x")), (13, " ".join(lone[:60]))]
+    want = brute_links(rows, 90, 3)
+    assert want[(None, 98, 5)] == 2 and want[(12, 98, 11)] == 1 and want[(None, 98, None)] == 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, jaccard.jaccard_components(df).collect())) == want
+
+
 def test_components_of_a_long_chain(spark, corpus):
     edges = [(i, i + 1) for i in range(200)] + [(500, 501), (500, 502), (7, 7)]
     got = dict(map(tuple, graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
