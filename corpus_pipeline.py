@@ -11,45 +11,51 @@ from pyspark.sql import functions as F
 
 from salesdq.llm import contamination, identifiers, jaccard, packing, quality, shared
 
-#: Most rows of decisions (16 bytes each) that are broadcast; beyond, documents are shuffled to them.
+#: Most rows of decisions (8 bytes each) that are broadcast; beyond, documents are shuffled to them.
 BROADCAST_DECISIONS = 4_000_000
 #: Near copies share this percentage of their shingles of so many words; op9's own contract (3 words, 90) binds only op9.
 COPY_WIDTH, COPY_PERCENT = 5, 80
 
 
 def _kept(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``rejected``; null ids are compared as equal."""
-    rejected = shared.stored(rejected.select(F.col("doc_id").alias("rejected_id")).distinct(), "rejected")
+    """The rows of ``docs`` whose ``shared.row_key`` is not among the places of ``rejected``: of one doc_id, also null, each text by itself."""
+    rejected = shared.stored(rejected.select(F.col("place").alias("rejected_place")).distinct(), "rejected")
     small = rejected.count() <= BROADCAST_DECISIONS
-    same = F.col("doc_id").eqNullSafe(F.col("rejected_id"))
+    same = shared.row_key() == F.col("rejected_place")
     return docs.join(F.broadcast(rejected) if small else rejected, same, "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Of rows with one doc_id all go if one is rejected."""
+    """Rows that the quality rules keep."""
     shared.ship(spark)
-    judged = quality.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = quality.quality_rules(docs.withColumn("place", shared.row_key()), labels, key="place")
     return _kept(docs, judged.where("not kept"))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (0.8 of five-word shingles), that with the least doc_id; of repeated rows with that id, one."""
+    """One row of each component of near copies (0.8 of five-word shingles): one with the least doc_id, or any if all are null.
+
+    Rows with an empty set link with nothing. Of rows that repeat doc_id and text one stays; a doc_id may stay with several texts.
+    """
     shared.ship(spark)
-    joined = jaccard.jaccard_components(docs, COPY_PERCENT, COPY_WIDTH)
-    kept = _kept(docs, joined.where("not (doc_id <=> component_id)"))
-    repeated = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
+    joined = jaccard.placed_components(docs, COPY_PERCENT, COPY_WIDTH)
+    kept = _kept(docs, joined.where("place <> component_place"))
+    place = shared.row_key()
+    repeated = kept.groupBy(place.alias("repeated_place")).count().where("count > 1").select("repeated_place")
     repeated = shared.stored(repeated, "repeated")
     if repeated.isEmpty():
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
+    same = place == F.col("repeated_place")
+    once = kept.join(repeated, same, "left_semi").withColumn("place", place).dropDuplicates(["place"]).drop("place")
     return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Rows that contain no benchmark item."""
     shared.ship(spark)
-    return _kept(docs, contamination.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _kept(docs, contamination.contained_items(docs.withColumn("place", shared.row_key()), items, key="place"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

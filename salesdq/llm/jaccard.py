@@ -219,6 +219,12 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     text or one without words has an empty set, links with nothing and is its own component. Repeated rows have equal sets. A null
     doc_id takes part, but is nobody's component_id unless all of its component are null. Other columns are left out.
     """
+    return placed_components(documents, percent, width).select("doc_id", "n_shingles", "component_id")
+
+
+def placed_components(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """``jaccard_components`` with place, each row's ``shared.row_key``, and component_place, that of one row of its component:
+    a row with the least doc_id, or any if all are null; a row with an empty set has its own."""
     sets = shared.stored(shingle_sets(documents, percent, width), "sets")
     # the place of a row with the least doc_id, or of any if all are null: there the text is found again
     place = F.coalesce(F.min_by("place", "doc_id"), F.min("place")).alias("place")
@@ -238,12 +244,15 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT, width: int
     one_less = fewer.join(classes.select(F.col("key").alias("b"), F.col("n").alias("m")), "b").where("m = n - 1").select("a", "b")
     found = connected_components(links.unionByName(one_less), "links")
     labelled = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
-    labelled = labelled.select("key", "least", F.coalesce("component", "key").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    answer = shared.stored(labelled.join(least, "component").select(F.col("key").alias("k"), "component_id"), "answer")
+    labelled = labelled.select("key", "least", "place", F.coalesce("component", "key").alias("component"))
+    first = F.coalesce(F.min_by("place", "least"), F.min("place")).alias("component_place")
+    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"), first)
+    answer = labelled.select("key", "component").join(least, "component")
+    answer = shared.stored(answer.select(F.col("key").alias("k"), "component_id", "component_place"), "answer")
     joined = sets.join(answer, (F.col("n") > 0) & (F.col("key") == F.col("k")), "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    first = F.when(F.col("n") > 0, F.col("component_place")).otherwise(F.col("place")).alias("component_place")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "place", first)
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:

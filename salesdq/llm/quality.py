@@ -87,7 +87,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.where("good and not toxic").select("label_id", (F.col("label_id") % 2 == 0).alias("teaches"))
 
 
-def quality_rules(documents: DataFrame, labels: DataFrame, model: Model = Model()) -> DataFrame:
+def quality_rules(documents: DataFrame, labels: DataFrame, model: Model = Model(), key: str | None = None) -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, score (mean log-likelihood ratio in millionths) and kept.
 
     Unigrams and bigrams are hashed into buckets. The raw multinomial counts those of all documents, the target those of
@@ -97,10 +97,10 @@ def quality_rules(documents: DataFrame, labels: DataFrame, model: Model = Model(
     trusted documents with an odd id reach. Without any of those, the base rules decide.
 
     A null text has no words and fails the base rules. Rows that repeat are judged each; a null doc_id is an unlabelled document. Null labels are
-    not trusted. Other columns are left out. Empty documents give no rows; without trusted documents the weights are those of an
+    not trusted. Other columns are left out, but for ``key`` if given. Empty documents give no rows; without trusted documents the weights are those of an
     empty target.
     """
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([key] if key else []))
     source = source.withColumn("words", words(F.col("text")))
     trusted = trusted_ids(labels)
     small = labels.select("doc_id").count() <= BROADCAST_LABELS
@@ -116,7 +116,7 @@ def quality_rules(documents: DataFrame, labels: DataFrame, model: Model = Model(
     weights = counts.select("bucket", weight.alias("w"))
 
     counted = base_counts(source.withColumn("row", F.monotonically_increasing_id()))
-    kept_columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    kept_columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *([key] if key else [])]
     # bounded by the number of buckets: 12 bytes each
     first = F.broadcast(weights.select(F.col("bucket").alias("one"), F.col("w").alias("w_one")))
     second = F.broadcast(weights.select(F.col("bucket").alias("two"), F.col("w").alias("w_two")))

@@ -42,3 +42,22 @@ def test_near_copies_share_four_fifths_of_five_words(spark, corpus):
     other = [f"x{k}" if k in (30, 70, 110, 150) else w for k, w in enumerate(words)]  # 0.81 of five words, 0.886 of three
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "quite another text")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, docs, SF_DIR).collect()) == [1, 3]
+
+
+def test_stages_decide_row_by_row(spark, corpus):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()["text"]
+    clean = [" ".join(f"{x}{k}" for k in range(60)) for x in "abc"]
+    rows = [(None, clean[0]), (None, clean[1]), (None, "too short"), (None, None), (None, None), (8, clean[2]), (8, "too short")]
+    copies = [(None, clean[0]), (8, clean[2] + " x"), (3, clean[2] + " y"), (1, "one"), (2, None), (2, "")]
+    schema, sort = "doc_id long, text string", lambda df: sorted(map(str, map(tuple, df.collect())))
+    want = lambda rows: sorted(map(str, rows))
+    docs = spark.createDataFrame(rows, schema)
+    assert sort(corpus_pipeline.quality_stage(spark, docs, SF_DIR)) == want([rows[0], rows[1], rows[5]])
+    both = spark.createDataFrame(rows + copies, schema).repartition(3)
+    # of 8, 8 and 3 the copy under 3 stays; two different texts under a null id stay, each once
+    left = sort(corpus_pipeline.near_copies_stage(spark, both, SF_DIR))
+    shorts = [x for x in left if "too short" in x]
+    assert len(shorts) == 1 and sorted(set(left) - set(shorts)) == want([rows[0], rows[1], (None, None), copies[2], *copies[3:]])
+    assert len(left) == len(set(left))
+    leaky = spark.createDataFrame([(None, item), (None, clean[0]), (4, item), (4, clean[1])], schema)
+    assert sort(corpus_pipeline.decontamination_stage(spark, leaky, SF_DIR)) == want([(None, clean[0]), (4, clean[1])])
