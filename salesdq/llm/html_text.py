@@ -21,8 +21,12 @@ from salesdq.llm.trees import BoostedTrees
 TRAINING_PAGES, TRAINING_NODES = 600, 40_000
 #: Element names by their meaning in HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style template noscript iframe textarea title svg math select object".split())
-INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style iframe textarea title".split())
+#: Elements that hold other things than running text: nodes that count as clutter. A start tag without its end tag opens none.
+EMBEDDED = frozenset("svg select object noscript template".split())
+EMBEDDED_TAG = re.compile(r"<(/?)(svg|select|object|noscript|template)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
+FORMULA = "math semantics annotation mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd".split()
+INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()) | frozenset(FORMULA)
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -44,6 +48,20 @@ NUMBER = {name: i for i, name in enumerate(NAMES)}
 FEATURES = len(NAMES) + 22
 
 
+def closed_starts(page: str) -> set[int]:
+    """Places of the EMBEDDED start tags that have an end tag of their own; of nested ones the inner have the first."""
+    out: set[int] = set()
+    waiting: dict[str, list[int]] = {}
+    for m in EMBEDDED_TAG.finditer(page):
+        places = waiting.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if not m[3].endswith("/") or m[2].lower() != "svg":
+                places.append(m.start())
+        elif places:
+            out.add(places.pop())
+    return out
+
+
 class Tree:
     """Block elements and text runs of a page, in order: parent, name, tokens of class, id and role, text and link characters."""
 
@@ -54,14 +72,15 @@ class Tree:
         self.above: list[tuple[int, int, int, int, int, int, int]] = [(0,) * 7]
         open_: list[tuple[str, int]] = []  # open elements and their nodes; inline ones have that of their block
         run: list[str] = []
-        anchors, linked = 0, 0
+        anchors, linked, drawings = 0, 0, 0
+        closed = closed_starts(page)
 
         def node() -> int:
             return open_[-1][1] if open_ else 0
 
         def add(name: str, tokens: tuple = (), text: str = "", links: int = 0) -> int:
             up = node()
-            own_clutter = int(any(map(CLUTTER.search, tokens))) if tokens else 0
+            own_clutter = int(name in EMBEDDED or any(map(CLUTTER.search, tokens)))
             own_article = int(any(map(ARTICLE_TOKENS.search, tokens))) if tokens else 0
             depth, c, clutter, a, article, boiler, inside = self.above[up]
             self.above.append((depth + 1, own_clutter, clutter + c, own_article, article + a, boiler + (name in BOILERPLATE), inside + (name in CONTENT)))
@@ -86,12 +105,13 @@ class Tree:
             linked = 0
 
         def close(count: int) -> None:
-            nonlocal anchors
+            nonlocal anchors, drawings
             for _ in range(count):
                 name, _ = open_[-1]
                 if name not in INLINE:
                     flush()
                 anchors -= name == "a"
+                drawings -= name == "svg"
                 open_.pop()
 
         at, size = 0, len(page)
@@ -126,6 +146,8 @@ class Tree:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else size
                 continue
+            if name in EMBEDDED and begin not in closed or drawings and m[3].endswith("/"):
+                continue
             if name in INLINE or name in VOID:
                 self.tags[node()] += 1
                 if name in ("br", "img", "hr", "wbr"):
@@ -149,6 +171,7 @@ class Tree:
                     close(len(open_) - depth)
             words = " ".join(x for found in TOKENS.findall(m[3]) for x in found).lower().split() if m[3] else ()
             open_.append((name, add(name, tuple(words))))
+            drawings += name == "svg"
         flush()
         if not self.texts:
             self.texts = [""]
@@ -161,7 +184,7 @@ class Tree:
         good, bad = np.zeros(n, bool), np.zeros(n, bool)
         for i in range(1, n):
             p = self.parent[i]
-            bad[i] = bad[p] or self.names[i] in BOILERPLATE or any(CLUTTER.search(t) for t in self.tokens[i])
+            bad[i] = bad[p] or self.names[i] in BOILERPLATE or self.names[i] in EMBEDDED or any(CLUTTER.search(t) for t in self.tokens[i])
             good[i] = good[p] or self.names[i] in CONTENT
         label = good & ~bad & np.array([x == "#text" for x in self.names])
         for i in range(n - 1, 0, -1):

@@ -158,6 +158,20 @@ def test_main_text_of_marked_pages(spark, corpus):
     assert html_text.main_text(pages.limit(0), None).count() == 0 and html_text.train(pages.limit(0)) is None
 
 
+@pytest.mark.parametrize("odd", ['<svg class="icon"/>', "<select><option>1", '<object data="x">', "<noscript>", "<template>", '<svg><path d="M0"/><g/></svg>',
+                                 "<select><option>1<option>2</select>", "<object>x<select></object>", "<svg viewBox='0'>", "<math/>"])
+def test_text_behind_embedded_elements_stays(odd):
+    page = f"<html><body><p>Before it.</p>{odd}<div><p>Behind it.</p><select><option>9</select><p>At the end.</p></div></body></html>"
+    tree = html_text.Tree(page)
+    kept = tree.decode(html_text.rule_margins(html_text.features([tree])[0]))
+    assert [t for t in kept if "it" in t or "end" in t] == ["Before it.", "Behind it.", "At the end."] and not {"2", "9"} & set(kept)
+
+
+def test_formulas_are_text():
+    tree = html_text.Tree("<article><p>Here <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds.</p><p>More</article>")
+    assert [t for t in tree.texts if t] == ["Here E=m holds.", "More"]
+
+
 def test_kept_nodes_have_kept_ancestors():
     tree = html_text.Tree(PAGE)
     margins = np.full(len(tree.names), 3.0)
