@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesdq.llm import words as W
 from salesdq.llm.trees import BoostedTrees
 
 #: Pages taken for training, and nodes of them at most.
@@ -45,7 +46,7 @@ TOKENS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 SPACES = re.compile(r"\s+")
 NAMES = "#text p div article main section nav header footer aside form ul ol li h1 h2 h3 table td blockquote pre figure body".split()
 NUMBER = {name: i for i, name in enumerate(NAMES)}
-FEATURES = len(NAMES) + 22
+FEATURES = len(NAMES) + 23
 
 
 def closed_starts(page: str) -> set[int]:
@@ -242,20 +243,49 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
     total = np.maximum(np.repeat(c[first], sizes), 1)
     siblings = np.where(roots, 0, children[up])
     number = np.array([NUMBER.get(x, -1) for x in names])
+    marked = np.repeat(np.maximum.reduceat(above[:, 6], first) > 0, sizes).astype(float)
     named = (number[:, None] == np.arange(len(NAMES))).astype(float)
     rows = [
         np.log1p(c), c / total, c / tg, w / np.maximum(rn, 1), st / np.maximum(w, 1), ln / np.maximum(c, 1), np.log1p(tg), rn,
         above[:, 0], place, siblings, place / np.maximum(siblings, 1), children, before / total,
-        *above[:, 1:].T, c / np.maximum(c[up], 1), ln[up] / np.maximum(c[up], 1),
+        *above[:, 1:].T, c / np.maximum(c[up], 1), ln[up] / np.maximum(c[up], 1), marked,
     ]
     return np.column_stack([named, *rows]), ends
 
 
+def withheld(rows: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Features without what defines the labels in the rows ``where``: counts of boilerplate and content elements, whether the page
+    is marked, and the names article and main, which become div."""
+    at, rows = len(NAMES), rows.copy()
+    marks = [NUMBER["article"], NUMBER["main"]]
+    rows[where, NUMBER["div"]] += rows[where][:, marks].sum(axis=1)
+    rows[np.ix_(np.flatnonzero(where), [*marks, at + 18, at + 19, at + 22])] = 0
+    return rows
+
+
+def taken(sizes: list[int], n_nodes: int) -> np.ndarray:
+    """Which nodes teach: ``n_nodes`` in all at most, as many of each page as all can have, by the hash of their places."""
+    cap, left = 0, n_nodes
+    for i, size in enumerate(sorted(sizes)):  # small pages leave their share to the others
+        cap = left // (len(sizes) - i)
+        if size > cap:
+            break
+        cap, left = size, left - size
+    out = []
+    for size in sizes:
+        chosen = np.ones(size, bool)
+        if size > cap:
+            chosen[np.argsort(W.mixed(np.arange(1, size + 1, dtype=np.uint64)))[cap:]] = False
+        out.append(chosen)
+    return np.concatenate(out)
+
+
 def train(pages: DataFrame, n_pages: int = TRAINING_PAGES, n_nodes: int = TRAINING_NODES) -> BoostedTrees | None:
     """Fit the trees on the pages of the ``n_pages`` smallest hashes of page_id and html that have an article or main element.
 
-    Labels come from the pages' own marks. The sample is bounded by ``n_pages`` and ``n_nodes``; without any labelled page
-    there is no model.
+    Labels come from the pages' own marks. Each page teaches twice, as it is and with its marks withheld, so that density, tokens
+    and siblings decide on pages without marks. The sample is bounded by ``n_pages`` and ``n_nodes``; without any labelled
+    page there is no model.
     """
     key = F.xxhash64("page_id", F.length("html"))
     marked = pages.where(F.lower("html").rlike("<(article|main)[ >]")).select(key.alias("h"), "page_id")
@@ -270,7 +300,9 @@ def train(pages: DataFrame, n_pages: int = TRAINING_PAGES, n_nodes: int = TRAINI
             ys.append(label)
     if not trees:
         return None
-    return BoostedTrees().fit(features(trees)[0][:n_nodes], np.concatenate(ys)[:n_nodes].astype(float))
+    chosen = taken([len(y) for y in ys], n_nodes)
+    rows, label = features(trees)[0][chosen], np.concatenate(ys)[chosen].astype(float)
+    return BoostedTrees().fit(np.concatenate([rows, withheld(rows, np.ones(len(rows), bool))]), np.tile(label, 2))
 
 
 def rule_margins(features: np.ndarray) -> np.ndarray:
@@ -295,7 +327,7 @@ def main_text(pages: DataFrame, model: BoostedTrees | None) -> DataFrame:
             def judged() -> None:
                 if trees:
                     rows, ends = features(trees)
-                    margins = model.margins(rows) if model else rule_margins(rows)
+                    margins = model.margins(withheld(rows, rows[:, -1] == 0)) if model else rule_margins(rows)
                     for tree, own in zip(trees, np.split(margins, ends[:-1])):
                         texts.append("\n".join(tree.decode(own)))
                     trees.clear()

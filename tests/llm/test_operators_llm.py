@@ -158,6 +158,29 @@ def test_main_text_of_marked_pages(spark, corpus):
     assert html_text.main_text(pages.limit(0), None).count() == 0 and html_text.train(pages.limit(0)) is None
 
 
+@pytest.mark.parametrize("tag", ['div class="content"', 'div class="entry"', 'div class="post-body"', "div", "section"])
+def test_main_text_of_unmarked_pages_beside_marked_ones(spark, corpus, tag):
+    def page(i, mark):
+        lines = [f"<p>Line {i} {k} of the report, which is told in many words, as such lines are, and goes on for a while.</p>" for k in range(2 + i % 5)]
+        inner = f"<{mark}><h1>Report {i}</h1>{''.join(lines)}</{mark.split()[0]}>"
+        links = "".join(f"<li><a href=/{k}>Place {k}</a></li>" for k in range(3 + i % 4))
+        return (f"<html><body><div class=top><ul>{links}</ul></div><nav><ul>{links}</ul></nav><div class=ad>Buy now</div>{inner}"
+                f"<div class=comments><p>I say so.</p></div><footer><p>By us, {i}</p></footer></body></html>")
+
+    rows = [(i, "u", page(i, "article" if i % 2 else "main")) for i in range(60)] + [(100 + i, "u", page(i, tag)) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(pages, html_text.train(pages)).collect()}
+    for i in range(20):
+        assert got[i].startswith(f"Report {i}\nLine {i} 0 of") and got[i].count("\n") == 2 + i % 5
+        assert got[100 + i].count("goes on for a while.") == 2 + i % 5
+        assert not any(x in got[100 + i] for x in ("Place", "Buy", "say so"))
+
+
+def test_every_page_teaches():
+    assert html_text.taken([10, 1000, 30, 0], 100).sum() == 100 and html_text.taken([10, 20], 100).sum() == 30
+    assert [x.sum() for x in np.split(html_text.taken([10, 1000, 1000], 100), [10, 1010])] == [10, 45, 45]
+
+
 @pytest.mark.parametrize("odd", ['<svg class="icon"/>', "<select><option>1", '<object data="x">', "<noscript>", "<template>", '<svg><path d="M0"/><g/></svg>',
                                  "<select><option>1<option>2</select>", "<object>x<select></object>", "<svg viewBox='0'>", "<math/>"])
 def test_text_behind_embedded_elements_stays(odd):
