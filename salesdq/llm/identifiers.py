@@ -1,7 +1,7 @@
 """Personal data in texts: four kinds by their form, and more by the contexts in which those are found.
 
 Bootstrapping: the spans found by form are seeds. The words before a span are its pattern. Patterns and the values they
-introduce make a graph; Spark scores it round by round: a pattern is trusted for a kind if nearly all that follows it, in all
+introduce make a graph; Spark scores it round by round until nothing changes: a pattern is trusted for a kind if nearly all that follows it, in all
 documents, is known to be of that kind, and a trusted pattern's unknown values of a plausible form become known.
 """
 
@@ -26,17 +26,25 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = "0123456789"
-#: A word that may be an identifier: at least six characters, one of them a digit. Stops around it are left out.
+#: A word that may be an identifier of any kind: at least six characters, one of them a digit. Stops around it are left out.
 VALUE = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = ".,;:!?\"'()[]<>"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-ROUNDS, LEAST_VALUES, CONFIDENCE = 3, 3, 0.8
+#: Forms of one kind: an e-mail's at sign in other writing, and its domain; groups of digits; groups of hexadecimal digits.
+AT = re.compile(r"\x20{0,2}(?:@|[(\[{<]\x20?(?:at|AT|@)\x20?[)\]}>])\x20{0,2}(?=[A-Za-z0-9])|\x20{1,2}(?:at|AT)\x20{1,2}(?=[A-Za-z0-9-]+(?:\.|\x20?[(\[{]|\x20dot\x20))")
+LABELS = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[{]\x20?(?:dot|DOT|\.)\x20?[)\]}]\x20?|\x20(?:dot|DOT)\x20)[A-Za-z0-9-]+)*")
+ENDING = re.compile(r"\.[A-Za-z]{2,}(?=[.,;:!?\"')\]>]*(?:[\x20\x09-\x0D]|$))")
+GROUPS = re.compile(r"(?<![^\x20\x09-\x0D(\[<\"'])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9])*(?![A-Za-z0-9])")
+HEXES = re.compile(r"(?<![^\x20\x09-\x0D(\[<\"'])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![^\x20\x09-\x0D.,;)\]>\"'])")
+LEAST_DIGITS, MOST_DIGITS = 5, 19
+EMAIL_FORM, IP_FORM, NUMBER_FORM, ANY_FORM = 1, 2, 4 | 8, 15
+LEAST_VALUES, CONFIDENCE = 3, 0.8
 PATTERN_BLOCK = 1_000_000
 #: Documents with added spans that are broadcast at most, some 100 bytes each; beyond, documents are shuffled to them.
 BROADCAST_ADDED = 500_000
 
 SPANS = "array<struct<kind:int,start:int,end:int>>"
-CANDIDATES = "array<struct<pattern:string,value:string,kind:int,start:int,end:int>>"
+CANDIDATES = "array<struct<pattern:string,value:string,kind:int,form:int,start:int,end:int>>"
 
 
 def _luhn(digits: str) -> bool:
@@ -92,30 +100,84 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _before(text: str, start: int) -> str:
-    """The two words before a place, A-Z in lower case; empty if there are fewer."""
-    words = WORD.findall(text[max(0, start - 120) : start])
-    return " ".join(words[-2:]).encode().lower().decode() if len(words) >= 2 else ""
-
-
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int, int]]:
-    """(pattern, value, kind, start, end) of base spans, and of other words of a plausible form with kind -1."""
-    if not any(c in text for c in DIGITS):
-        found = []
-    else:
-        taken = sorted((a, b) for _, a, b in spans)
-        found, i = [], 0
+    """The two whole words before a place, however long and far, A-Z in lower case; empty if there are fewer."""
+    size = 120
+    while True:
+        words = WORD.findall(text[max(0, start - size) : start])
+        if len(words) > 2 or size >= start:  # the first of three may be cut
+            return " ".join(words[-2:]).encode().lower().decode() if len(words) >= 2 else ""
+        size *= 2
+
+
+def _obscured(text: str) -> Iterator[tuple[int, int]]:
+    """What may be an e-mail address in other writing: words around an at sign, and words that end like a domain."""
+    done = 0
+    for m in AT.finditer(text):
+        start = m.start()
+        while start > done and not text[start - 1].isspace():
+            start -= 1
+        start += len(text[start : m.start()]) - len(text[start : m.start()].lstrip(EDGES))
+        found = LABELS.match(text, m.end())
+        if start < m.start() and found and not (m.group().strip().isalpha() and found.group().replace("-", "").isalnum()):
+            yield start, found.end()
+            done = found.end()
+    done = 0
+    for m in ENDING.finditer(text):
+        start = m.start()
+        while start > done and not text[start - 1].isspace():
+            start -= 1
+        start += len(text[start : m.start()]) - len(text[start : m.start()].lstrip(EDGES))
+        if start < m.start():
+            yield start, m.end()
+        done = m.end()
+
+
+def _groups(text: str) -> Iterator[tuple[int, int]]:
+    """Groups of digits that may be a number, up to MOST_DIGITS digits of each run."""
+    for m in GROUPS.finditer(text):
+        end, digits = m.end(), sum(c in DIGITS for c in m.group())
+        if digits > MOST_DIGITS:
+            digits = 0
+            for part in re.finditer("[0-9]+", m.group()):
+                if digits + len(part.group()) > MOST_DIGITS:
+                    break
+                digits, end = digits + len(part.group()), m.start() + part.end()
+        if digits >= LEAST_DIGITS:
+            yield m.start(), end
+
+
+def _plausible(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, form) of all that may be an identifier, in order: a bit of form for each kind; the longest of those with one start."""
+    found = []
+    if any(c in text for c in DIGITS):
         for m in VALUE.finditer(text):
             word = m.group()
-            if len(word) < 6 or not any(c in word for c in DIGITS):
-                continue
-            core = word.strip(EDGES)
-            start = m.start() + len(word) - len(word.lstrip(EDGES))
-            end = start + len(core)
-            while i < len(taken) and taken[i][1] <= start:
-                i += 1
-            if len(core) >= 6 and not (i < len(taken) and taken[i][0] < end):
-                found.append((-1, start, end))
-    rows = [(_before(text, a), text[a:b], k, a, b) for k, a, b in [*spans, *found]]
+            if len(word) >= 6 and any(c in word for c in DIGITS):
+                core = word.strip(EDGES)
+                start = m.start() + len(word) - len(word.lstrip(EDGES))
+                if len(core) >= 6:
+                    found.append((start, start + len(core), ANY_FORM))
+        found += [(a, b, NUMBER_FORM) for a, b in _groups(text)]
+    if ":" in text:
+        found += [(*m.span(), IP_FORM) for m in HEXES.finditer(text) if any(c not in ":" for c in m.group())]
+    found += [(a, b, EMAIL_FORM) for a, b in _obscured(text)]
+    out: dict[int, tuple[int, int]] = {}
+    for start, end, form in found:
+        other = out.get(start, (0, 0))
+        out[start] = max(end, other[0]), form | other[1]
+    return [(a, *out[a]) for a in sorted(out)]
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int, int, int]]:
+    """(pattern, value, kind, form, start, end) of base spans, and of all else of a plausible form with kind -1."""
+    taken = sorted((a, b) for _, a, b in spans)
+    found, i = [], 0
+    for start, end, form in _plausible(text):
+        while i < len(taken) and taken[i][1] <= start:
+            i += 1
+        if not (i < len(taken) and taken[i][0] < end):
+            found.append((-1, form, start, end))
+    rows = [(_before(text, a), text[a:b], k, f, a, b) for k, f, a, b in [*((k, 0, a, b) for k, a, b in spans), *found]]
     return [r for r in rows if r[0]]
 
 
@@ -142,9 +204,9 @@ def _found(source: DataFrame) -> DataFrame:
             rows = pa.array(np.arange(row, row + len(texts)))
             row += len(texts)
             span_type = pa.list_(pa.struct([(x, pa.int32()) for x in ("kind", "start", "end")]))
-            more_type = pa.list_(pa.struct([("pattern", pa.string()), ("value", pa.string()), *[(x, pa.int32()) for x in ("kind", "start", "end")]]))
+            more_type = pa.list_(pa.struct([("pattern", pa.string()), ("value", pa.string()), *[(x, pa.int32()) for x in ("kind", "form", "start", "end")]]))
             as_dicts = [[dict(zip(("kind", "start", "end"), s)) for s in sorted(x)] for x in spans]
-            more_dicts = [[dict(zip(("pattern", "value", "kind", "start", "end"), s)) for s in x] for x in more]
+            more_dicts = [[dict(zip(("pattern", "value", "kind", "form", "start", "end"), s)) for s in x] for x in more]
             columns = [rows, batch.column("doc_id"), batch.column("key"), pa.array(as_dicts, span_type), pa.array(more_dicts, more_type)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "key", "spans", "more"])
 
@@ -198,25 +260,30 @@ def _followed(source: DataFrame, patterns: DataFrame) -> DataFrame:
 def _bootstrapped(found: DataFrame, source: DataFrame) -> DataFrame:
     """Spans that trusted patterns add: (row, kind, start, end)."""
     graph = found.select("row", F.explode("more").alias("c")).select("row", "c.*")
-    counts = graph.groupBy("pattern", "value").agg(F.max("kind").alias("kind"), F.count("*").alias("n"))
+    counts = graph.groupBy("pattern", "value").agg(F.max("kind").alias("kind"), F.max("form").alias("form"), F.count("*").alias("n"))
     wide = counts.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= LEAST_VALUES)
     edges = shared.stored(counts.join(wide.select("pattern"), "pattern"), "edges")
     if edges.isEmpty():
         return found.sparkSession.createDataFrame([], "row long, kind int, start int, end int")
     totals = shared.stored(_followed(source, edges.select("pattern").distinct()), "followed")
     seeds = edges.where("kind >= 0").select("value", "kind").distinct()
-    trusted = None
-    for _ in range(ROUNDS):
+    fits = F.expr("shiftright(form, kind) & 1 = 1")
+    before = None
+    while True:
         known = edges.select("pattern", "value", "n").join(seeds, "value")
         scores = known.groupBy("pattern", "kind").agg(F.sum("n").alias("hits"), F.count("*").alias("values"))
         scores = scores.where(F.col("values") >= LEAST_VALUES).join(totals, "pattern")
-        trusted = scores.where(F.col("hits") >= CONFIDENCE * F.col("total")).select("pattern", "kind")
-        trusted = shared.stored(trusted.dropDuplicates(["pattern"]), "trusted")
-        new = edges.where("kind < 0").select("pattern", "value").join(trusted, "pattern")
+        trusted = scores.where(F.col("hits") >= CONFIDENCE * F.col("total")).groupBy("pattern").agg(F.min("kind").alias("kind"))
+        trusted = shared.stored(trusted, "trusted")
+        state = trusted.agg(F.count("*"), F.sum(F.xxhash64("pattern", "kind").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+        new = edges.where("kind < 0").select("pattern", "value", "form").join(trusted, "pattern").where(fits)
         new = new.groupBy("value").agg(F.min("kind").alias("kind"))
         grown = seeds.unionByName(new.join(seeds.select("value"), "value", "left_anti"))
         seeds = shared.stored(grown, "seeds")
-    more = graph.where("kind < 0").drop("kind").join(trusted, "pattern")
+    more = graph.where("kind < 0").drop("kind").join(trusted, "pattern").where(fits)
     return more.select("row", "kind", "start", "end").distinct()
 
 
@@ -225,8 +292,9 @@ def personal_spans(documents: DataFrame) -> DataFrame:
 
     The base follows the four forms. A pattern is the two words before a span; it is trusted if it stands before at least LEAST_VALUES
     different known values of one kind and these are at least CONFIDENCE of all words it stands before, in all texts.
-    Words of at least six characters with a digit that follow a trusted pattern are added under its kind; they never overlap the
-    base. A null or empty text has no spans. Repeated rows count each; null doc_ids stay null. Other columns are left out.
+    What follows a trusted pattern is added under its kind, and known from then on, if it is a word of at least six characters with a
+    digit or has a form of that kind: an e-mail's at sign written otherwise or a word that ends like a domain, groups of
+    LEAST_DIGITS digits or more, hexadecimal groups. Rounds go on until the trusted patterns stay. What is added never overlaps the base. A null or empty text has no spans. Repeated rows count each; null doc_ids stay null. Other columns are left out.
     """
     source = _source(documents)
     found = shared.stored(_found(source), "spans")

@@ -407,6 +407,30 @@ def test_contexts_discover_unseen_identifiers(spark, corpus):
     assert identifiers.personal_spans(df.limit(0)).count() == 0
 
 
+def test_unseen_identifiers_of_each_form(spark, corpus):
+    rows = [(i, f"text {i} here. client mail: user{i}@mail.example.org and") for i in range(40)]
+    rows += [(i, f"text {i} here. our phone: +49 30 1234 {5670 + i} and") for i in range(40)]
+    rows += [(i, f"the {'w' * 150}{' ' * 200}key: name{i}@mail.example.org and") for i in range(40)]
+    unseen = {"client mail:": ["anna(at)mail.example.org", "bert [at] mail.example.org", "carl at mail.example.org", "dora.mail.org"],
+              "our phone:": ["030 1234 567", "(030) 1234-567", "4111 1111 1111 1112"], "w" * 150 + " " * 200 + "key:": ["emil(at)mail.example.org"]}
+    odd = [(f"see {p} {v} today", f"see {p} <{'PHONE' if 'phone' in p else 'EMAIL'}> today") for p, vs in unseen.items() for v in vs]
+    odd += [(t, t) for t in ("see client mail: pending today", "see our phone: later today", "call 030 1234 567 now", "so anna(at)mail.example.org")]
+    rows += [(100 + i, t) for i, (t, _) in enumerate(odd)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in identifiers.redacted(df).collect()}
+    assert [got[100 + i] for i in range(len(odd))] == [t for _, t in odd]
+
+
+def test_discovery_goes_on_until_nothing_changes(spark, corpus):
+    rows = [(0, f"see first mail: seed{i}@x.org now") for i in range(12)]
+    for k in range(6):  # each pattern knows most of its values only from the one before
+        rows += [(0, f"see pattern{k} mail: new{k}n{i}(at)x.org now") for i in range(3) for _ in range(4)] if k else []
+        rows += [(k + 1, f"see {f'pattern{k}' if k else 'first'} mail: new{k + 1}n{i}(at)x.org now") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = identifiers.personal_spans(df).where("doc_id > 0").collect()
+    assert len(found) == 18 and all(len(r["added"]) == 1 for r in found)
+
+
 def test_redaction_of_overlapping_spans():
     spans = [dict(kind=k, start=a, end=b) for k, a, b in ((0, 2, 6), (3, 4, 9))]
     assert identifiers.redact("a 12345678 b", spans) == "a <EMAIL>8 b"
