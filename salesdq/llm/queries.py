@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesdq.llm import bestfit, contamination, html_text, identifiers, jaccard, packing, quality, repeats, shared, sharding, warc
+from salesdq.llm import (
+    bestfit,
+    centroids,
+    contamination,
+    filter_audit,
+    html_text,
+    identifiers,
+    jaccard,
+    packing,
+    quality,
+    repeats,
+    sharding,
+    shared,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: dict[str, Query] = {
@@ -20,6 +35,9 @@ OPERATORS: dict[str, Query] = {
     "op8_benchmark_containment": contamination.op8_benchmark_containment,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_personal_data": identifiers.op10_personal_data,
+    "op11_centroid_clusters": centroids.op11_centroid_clusters,
+    "op12_filter_orders": filter_audit.op12_filter_orders,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 
@@ -36,4 +54,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality.SQL}
+    return {"op5_quality_rules": quality.SQL, "op11_centroid_clusters": centroids.SQL, "op12_filter_orders": filter_audit.SQL}
