@@ -13,6 +13,7 @@ from salesdq.functions.semantics import (
     rounded_ratio,
     weekday_name,
     weighted_stddev_pop,
+    whole_units,
 )
 
 __all__ = [
@@ -28,4 +29,5 @@ __all__ = [
     "rounded_ratio",
     "weekday_name",
     "weighted_stddev_pop",
+    "whole_units",
 ]

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Declared types of money: prices as stored, and amounts whose sums are DECIMAL(38,2) however often they are summed up.
@@ -57,6 +58,23 @@ def weighted_stddev_pop(weight: Column, total: Column, squares: Column) -> Colum
     return F.sqrt(numerator) / F.nullif(wd, F.lit(0.0))
 
 
+def whole_units(column: str, kind: T.DataType, digits: int | None = None) -> tuple[Column, int]:
+    """``column`` as a whole number of its smallest units, DECIMAL(18,0), and how many digits that shifts it.
+
+    Whole numbers shift by none, a DECIMAL by its own scale. A binary fraction has no smallest unit; ``digits`` names
+    one, to which it is rounded half away from zero.
+    """
+    if isinstance(kind, T.IntegralType):
+        return F.col(column).cast("decimal(18,0)"), 0
+    if isinstance(kind, T.DecimalType):
+        if kind.precision > 18:
+            raise ValueError(f"{column} has more than 18 digits")
+        return (F.col(column).cast(kind) * F.lit(10**kind.scale)).cast("decimal(18,0)"), kind.scale
+    if isinstance(kind, T.FractionalType) and digits is not None:
+        return (F.col(column).cast(f"decimal(18,{digits})") * F.lit(10**digits)).cast("decimal(18,0)"), digits
+    raise ValueError(f"{column} is {kind.simpleString()}: name the digits it is to be rounded to")
+
+
 def full_name(first: str = "FirstName", last: str = "LastName") -> Column:
     """First and last name joined by a blank; NULL if either is NULL."""
     return F.concat(F.col(first), F.lit(" "), F.col(last))

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesdq.functions import any_null, percent, rounded_ratio, weighted_stddev_pop
+from salesdq.functions import any_null, percent, rounded_ratio, weighted_stddev_pop, whole_units
 from salesdq.operators.revenue import metadata_status
 from salesdq.plans import (
     album_artists,
     all_albums,
+    distinct,
     join_many_to_one,
     null_safe_lookup,
     report,
@@ -67,11 +68,16 @@ def _weight(weight: str) -> Column:
     raise ValueError(f"weight must be 'sales' or 'track', not {weight!r}")
 
 
-def _moments(weight: Column) -> list[Column]:
-    """Weight, weighted sum and weighted square sum of the known track lengths."""
-    x = F.col("Milliseconds").cast("decimal(18,0)")
-    w = F.when(F.col("Milliseconds").isNotNull(), weight)
-    return [F.sum(w).alias("_w"), F.sum(w * x).alias("_wx"), F.sum(w * x * x).alias("_wxx")]
+def _moments(weight: Column, length: Column) -> list[Column]:
+    """Weight, weighted sum and weighted square sum of the known track lengths, given in whole units."""
+    w = F.when(length.isNotNull(), weight)
+    return [F.sum(w).alias("_w"), F.sum(w * length).alias("_wx"), F.sum(w * length * length).alias("_wxx")]
+
+
+def _lengths(tracks: DataFrame, digits: int | None) -> tuple[Column, Column]:
+    """Track length in whole units, and the factor that turns a spread of them into the column's own unit."""
+    units, shift = whole_units("Milliseconds", tracks.schema["Milliseconds"].dataType, digits)
+    return units, F.lit(10.0**shift)
 
 
 @report("-TotalPlaylistRevenue", "PlaylistId")
@@ -95,13 +101,40 @@ def playlist_revenue(
 
 
 @report("-GenreVariety", "PlaylistId")
-def playlist_genre_variety(playlists: DataFrame, entries: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Different genres per playlist; tracks without a genre add none."""
+def playlist_genre_variety(
+    playlists: DataFrame, entries: DataFrame, tracks: DataFrame, *, count: str = "exact", lg_nodes: int = distinct.LG_NODES
+) -> DataFrame:
+    """Different genres per playlist; tracks without a genre add none.
+
+    count='sketch' estimates the number (``plans.distinct``).
+    """
+    distinct.check_kind(count)
+    if count == "sketch":
+        sketched = playlist_genre_sketches(entries, tracks, lg_nodes=lg_nodes)
+        return playlist_variety_of(playlists, sketched, lg_nodes=lg_nodes, ordered=False)
     facts = _entries(entries, tracks.select("TrackId", "GenreId"), tracks)
     variety = facts.groupBy("PlaylistId").agg(F.count_distinct("GenreId").alias("GenreVariety"))
     return _named(variety, playlists)
 
 
+def playlist_genre_sketches(entries: DataFrame, tracks: DataFrame, *, lg_nodes: int = distinct.LG_NODES) -> DataFrame:
+    """PlaylistId and GenreVariety, a sketch of the genres met.
+
+    A result to be kept: ``plans.distinct.merged`` joins it with the sketches of later entries, without
+    reading the earlier ones again.
+    """
+    facts = _entries(entries, tracks.select("TrackId", "GenreId"), tracks)
+    return distinct.sketches(facts, ["PlaylistId"], {"GenreVariety": "GenreId"}, lg_nodes)
+
+
+@report("-GenreVariety", "PlaylistId")
+def playlist_variety_of(
+    playlists: DataFrame, genre_sketches: DataFrame, *, lg_nodes: int = distinct.LG_NODES
+) -> DataFrame:
+    """The variety report from kept sketches."""
+    return _named(distinct.estimates(genre_sketches, ["GenreVariety"], lg_nodes), playlists)
+
+
 @report("-QualityScore", "PlaylistId")
 def playlist_quality_score(
     playlists: DataFrame,
@@ -112,27 +145,30 @@ def playlist_quality_score(
     weights: tuple[float, float, float, float] = (0.4, 0.3, 0.2, 0.1),
     weight: str = "sales",
     pairs_unique: bool = False,
+    length_digits: int | None = None,
 ) -> DataFrame:
     """Score from size, genre variety, revenue (in tens) and spread of track length
     (in minutes). DurationVariance is a standard deviation, rounded before scoring,
     in which a track weighs as often as it sold unless weight='track'.
 
-    ``pairs_unique`` saves a shuffle where the entries are known to hold no pair twice.
+    ``pairs_unique`` saves a shuffle where the entries are known to hold no pair twice. Lengths are taken with all
+    digits of a DECIMAL; binary fractions only with ``length_digits``, the digits they are rounded to.
     """
+    length, unit = _lengths(tracks, length_digits)
     per_track = _track_sales(tracks, lines, "GenreId", "Milliseconds")
     facts = _entries(entries, per_track, tracks, pairs_unique=pairs_unique)
     copies = F.col("_copies")
     per_genre = facts.groupBy("PlaylistId", "GenreId").agg(
         F.count(F.lit(1)).alias("_tracks"),
         F.sum(copies * F.col("Revenue")).alias("_revenue"),
-        *_moments(copies * _weight(weight)),
+        *_moments(copies * _weight(weight), length),
     )
     base = per_genre.groupBy("PlaylistId").agg(
         F.sum("_tracks").alias("TrackCount"),
         F.count("GenreId").alias("GenreDiversity"),
         *[F.sum(c).alias(c) for c in ("_revenue", "_w", "_wx", "_wxx")],
     )
-    spread = weighted_stddev_pop(F.col("_w"), F.col("_wx"), F.col("_wxx"))
+    spread = weighted_stddev_pop(F.col("_w"), F.col("_wx"), F.col("_wxx")) / unit
     size, genres, revenue, deviation = (F.lit(w) for w in weights)
     scored = (
         _named(base, playlists)
@@ -213,27 +249,37 @@ def playlist_balance_score(
     artists: DataFrame,
     *,
     weights: tuple[float, float, float] = (0.4, 0.4, 0.2),
+    count: str = "exact",
+    lg_nodes: int = distinct.LG_NODES,
+    length_digits: int | None = None,
 ) -> DataFrame:
     """Score from genre and artist variety and spread of track length (in minutes);
-    only tracks that lead to an artist count. The deviation is scored unrounded."""
+    only tracks that lead to an artist count. The deviation is scored unrounded.
+
+    count='sketch' estimates both varieties (``plans.distinct``). Lengths are taken as ``playlist_quality_score`` takes them.
+    """
+    distinct.check_kind(count)
+    length, unit = _lengths(tracks, length_digits)
     traced = (
         tracks.select("TrackId", "GenreId", "Milliseconds", "AlbumId")
         .join(album_artists(albums, artists).select("AlbumId", "ArtistId"), "AlbumId")
         .drop("AlbumId")
     )
-    # reduced to the pairs that occur before anything distinct is counted
-    per_pair = (
-        _entries(entries, traced, tracks)
-        .groupBy("PlaylistId", "GenreId", "ArtistId")
-        .agg(*_moments(F.lit(1)))
-    )
-    base = per_pair.groupBy("PlaylistId").agg(
-        F.count_distinct("GenreId").alias("GenreDiversity"),
-        F.count_distinct("ArtistId").alias("ArtistDiversity"),
-        *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx")],
-    )
+    facts = _entries(entries, traced, tracks)
+    if count == "sketch":  # one pass: nothing distinct is kept apart
+        columns = {"GenreDiversity": "GenreId", "ArtistDiversity": "ArtistId"}
+        sketched = distinct.sketches(facts, ["PlaylistId"], columns, lg_nodes, also=_moments(F.lit(1), length))
+        base = distinct.estimates(sketched, list(columns), lg_nodes)
+    else:
+        # reduced to the pairs that occur before anything distinct is counted
+        per_pair = facts.groupBy("PlaylistId", "GenreId", "ArtistId").agg(*_moments(F.lit(1), length))
+        base = per_pair.groupBy("PlaylistId").agg(
+            F.count_distinct("GenreId").alias("GenreDiversity"),
+            F.count_distinct("ArtistId").alias("ArtistDiversity"),
+            *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx")],
+        )
     genre, artist, deviation = (F.lit(w) for w in weights)
-    spread = weighted_stddev_pop(F.col("_w"), F.col("_wx"), F.col("_wxx"))
+    spread = weighted_stddev_pop(F.col("_w"), F.col("_wx"), F.col("_wxx")) / unit
     score = (
         F.col("GenreDiversity") * genre
         + F.col("ArtistDiversity") * artist

@@ -1,5 +1,6 @@
 """Plan fragments that keep the reports free of hot tasks."""
 
+from salesdq.plans import distinct
 from salesdq.plans.facts import (
     album_artists,
     all_albums,
@@ -25,6 +26,7 @@ __all__ = [
     "all_albums",
     "artist_totals",
     "broadcast_if_small",
+    "distinct",
     "estimated_bytes",
     "fits_broadcast",
     "join_many_to_one",

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesdq.plans.joins import broadcast_limit, estimated_bytes
+from salesdq.plans.joins import estimated_bytes
 
-# Rows of one group that a single task sorts for a running total.
+# Up to so many rows, by the size of the table that bounds them, a running total is one window per group.
 SLICE_ROWS = 500_000
-# Cut points of one level between two of the next coarser one, and levels.
-FAN, LEVELS = 32, 3
+# A range of a larger table holds this many rows of the sample that cuts it, or more.
+RANGE_SAMPLE = 32
 
 
 def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str, *, ties: bool) -> DataFrame:
@@ -74,74 +74,89 @@ def running_total(
 
     ``order`` lists (column, descending) and must end in a column that makes it
     unique; descending columns are numeric, and NULL sorts lowest. ``group`` is
-    not NULL. A group is cut into slices of about ``slice_rows`` (SLICE_ROWS)
-    consecutive rows:
-
-    1. Rows whose hash falls on one value in ``slice_rows`` become cut points.
-       They only place the cuts; every row stays in the result. Cuts come in
-       levels, each with FAN times as many as the coarser one; a row counts the
-       coarsest cuts before it, then the finer ones between its two coarser ones,
-       so it looks at some FAN cuts a level, not at all of its group. Cuts are
-       broadcast where an upper bound of their size is within the session's limit.
-    2. Slice sums are added up over the few slices of each group.
-    3. Within a slice the running sum is an ordinary window, shifted by what the
-       earlier slices hold.
-
-    The cuts depend on the rows alone, so a recomputed task cuts the same way.
+    not NULL. ``bound`` is a scan of at least as many rows. If it, or else ``df``
+    by its own estimate, cannot have more than ``slice_rows`` (SLICE_ROWS) rows, a
+    window per group does. Otherwise the sums go over ranges of (group, position),
+    however few or many groups there are:
+
+    1. Of each slice_rows / RANGE_SAMPLE rows one, chosen by hash, is a sample.
+       Evenly spaced rows of the sorted sample cut the rows into ranges, at most
+       one for each shuffle partition. They only place the cuts; every row stays in the result.
+    2. Sums per range and group, a row for each range that a group reaches
+       into, are added up to what lies before it.
+    3. That row joins the range's own rows as their first, and a window per
+       group and range runs from there. Each range is one task.
+
+    The cuts are an array that the plan computes for itself, as long as there
+    are partitions. They depend on the rows alone, so both passes over the rows, and a
+    recomputed task, cut the same way.
     """
-    parts = [part for column, descending in order for part in _sort_parts(df, column, descending)]
-    placed = df.withColumn("_position", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)]))
-    every = slice_rows or SLICE_ROWS
-    digest = F.xxhash64(*[c for c, _ in order])
-    # bound: a scan of at least as many rows, of 2 bytes or more each as stored; a cut has some 64 bytes
-    small = estimated_bytes(df if bound is None else bound) // 2 * 64 // every <= broadcast_limit(df)
-    keys: list[str] = [group]
-    sliced, cuts = placed, placed.filter(F.pmod(digest, F.lit(every)) == 0).withColumn("_digest", digest)
-    cuts = cuts.select(group, "_position", "_digest")
-    for level in range(LEVELS):
-        coarse = F.pmod("_digest", F.lit(every * FAN ** (LEVELS - 1 - level))) == 0
-        lists = cuts.filter(coarse).groupBy(*keys).agg(F.sort_array(F.collect_list("_position")).alias("_cuts"))
-        if small:
-            lists = F.broadcast(lists)
-        slot = f"_level{level}"
-
-        def number(rows: DataFrame, before) -> DataFrame:
-            earlier = F.size(F.filter("_cuts", lambda cut: before(cut, F.col("_position"))))
-            # never NULL; coalesce says so to the optimizer
-            counted = F.coalesce(F.when(F.col("_cuts").isNull(), 0).otherwise(earlier), F.lit(0))
-            return rows.join(lists, keys, "left").withColumn(slot, counted).drop("_cuts")
-
-        # a row that is a cut itself belongs to the slice before it, on every level
-        sliced = number(sliced, lambda cut, row: cut < row)
-        if level < LEVELS - 1:
-            cuts = number(cuts, lambda cut, row: cut < row)
-        keys = [*keys, slot]
-    slots = keys[1:]
-    sliced = sliced.withColumn("_slice", F.struct(*slots)).drop(*slots)
-
-    # one row per slice: bounded by rows / slice_rows within a group
+    # 2 bytes or more for each row as stored
+    if estimated_bytes(df if bound is None else bound) // 2 <= (slice_rows or SLICE_ROWS):
+        return _windowed_total(df, group, order, value, running, total)
+    return _ranged_total(df, group, order, value, running, total, slice_rows or SLICE_ROWS)
+
+
+def _windowed_total(
+    df: DataFrame, group: str, order: list[tuple[str, bool]], value: str, running: str, total: str
+) -> DataFrame:
     by_group = Window.partitionBy(group)
-    earlier = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(group, "_slice")
-        .agg(F.sum(value).alias("_sum"))
-        .withColumn(total, F.sum("_sum").over(by_group))
-        .withColumn("_offset", F.sum("_sum").over(earlier))
-        .drop("_sum")
+    up_to = by_group.orderBy(*[F.desc(c) if descending else F.asc(c) for c, descending in order])
+    up_to = up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({running: F.sum(value).over(up_to), total: F.sum(value).over(by_group)})
+
+
+def _range_cuts(placed: DataFrame, order: list[tuple[str, bool]], every: int, ranges: int) -> Column:
+    """Positions that cut the rows into at most ``ranges`` about equal parts, as one sorted array."""
+    chosen = F.pmod(F.xxhash64(*[c for c, _ in order]), F.lit(every)) == 0
+    # rows / every of them, 32 bytes or so each
+    sample = placed.filter(chosen).select("_position")
+    numbered = sample.select(
+        "_position",
+        F.row_number().over(Window.orderBy("_position")).alias("_n"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("_all"),
     )
+    step = F.greatest(F.lit(1), F.ceil(F.col("_all") / F.lit(ranges)))
+    spaced = numbered.filter(F.pmod("_n", step) == 0)
+    return spaced.agg(F.sort_array(F.collect_list("_position")).alias("cuts")).scalar()
 
-    within = (
-        Window.partitionBy(group, "_slice")
-        .orderBy("_position")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # a sum so far is NULL as long as it has met nothing but NULL
-    both = F.coalesce(
-        F.col("_offset") + F.col("_within"), F.col("_within"), F.col("_offset")
+
+def _numbered_ranges(placed: DataFrame, cuts: Column, ranges: int) -> DataFrame:
+    """Column _range: how many of the cuts are at or before _position, by binary search."""
+    found = placed.withColumns({"_cuts": cuts, "_range": F.lit(0)})
+    step = 1 << ranges.bit_length()
+    while step:
+        cut = F.get("_cuts", F.col("_range") + F.lit(step - 1))  # NULL behind the last
+        found = found.withColumn("_range", F.col("_range") + F.when(cut <= F.col("_position"), F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return found.drop("_cuts")
+
+
+def _ranged_total(
+    df: DataFrame, group: str, order: list[tuple[str, bool]], value: str, running: str, total: str, slice_rows: int
+) -> DataFrame:
+    parts = [F.col(group), *[part for column, descending in order for part in _sort_parts(df, column, descending)]]
+    placed = df.withColumn("_position", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)]))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = _range_cuts(placed, order, max(1, slice_rows // RANGE_SAMPLE), ranges)
+    ranged = _numbered_ranges(placed, cuts, ranges)
+
+    by_group = Window.partitionBy(group)  # a row for each range
+    before = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(group, "_range").agg(F.sum(value).alias("_sum"))
+    starts = sums.select(
+        group,
+        "_range",
+        F.lit(False).alias("_is_row"),
+        F.sum("_sum").over(before).alias("_add"),
+        F.sum("_sum").over(by_group).alias("_total"),
     )
+    rows = ranged.withColumns({"_is_row": F.lit(True), "_add": F.col(value)})
+    both = rows.unionByName(starts, allowMissingColumns=True).repartitionById(ranges + 1, "_range")
+    up_to = Window.partitionBy("_range", group).orderBy("_is_row", "_position")
+    up_to = up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        sliced.withColumn("_within", F.sum(value).over(within))
-        .join(offsets, [group, "_slice"])
-        .withColumn(running, both)
-        .drop("_position", "_slice", "_within", "_offset")
+        both.withColumns({running: F.sum("_add").over(up_to), total: F.first("_total").over(up_to)})
+        .filter("_is_row")
+        .select(*df.columns, running, total)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesdq.functions import any_null
+from salesdq.sources import versions
 
 # fixed values: the result tables, their columns and types
 RESULT_TABLES = {
@@ -57,23 +57,6 @@ def _shaped(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     return df if schema is None else df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def _replace(spark: SparkSession, new: str, destination: str) -> None:
-    """Move a written folder to its destination; what was there is removed only afterwards, or put back."""
-    jvm = spark.sparkContext._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(destination)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{destination}.old-{uuid.uuid4().hex}")
-    had = files.exists(target)
-    if had and not files.rename(target, old):
-        raise OSError(f"cannot move {destination}")
-    if not files.rename(source, target):
-        if had:
-            files.rename(old, target)
-        raise OSError(f"cannot move {new}")
-    if had:
-        files.delete(old, True)
-
-
 def load(
     df: DataFrame,
     destination: str,
@@ -81,23 +64,44 @@ def load(
     schema: T.StructType | None = None,
     key: Sequence[str] = (),
     file_format: str = "parquet",
+    keep: int = versions.KEEP,
 ) -> DataFrame:
-    """Replace the files at ``destination`` by ``df`` and return what was stored.
+    """Replace the table at ``destination`` by ``df`` and return what was stored.
 
     With ``schema`` columns are cast to the declared types. The rows are written
-    once, beside the destination; a key is checked on what was written; only
-    then do the new files take the old ones' place. Whatever fails before leaves
-    the old table as it was.
+    once, as a new version of the table; a key is checked on what was written;
+    then the version is named the current one, in a single step (``sources.versions``).
+    Whatever fails before leaves the table as it was, and whoever reads it meanwhile has the
+    old version, whole. ``keep`` versions stay, so that readers can finish.
     """
     spark, shaped = df.sparkSession, _shaped(df, schema)
-    destination = destination.rstrip("/")
-    beside = f"{destination}.new-{uuid.uuid4().hex}"
-    shaped.write.format(file_format).save(beside)
-    reader = spark.read.format(file_format).schema(shaped.schema)
-    if key:
-        check_key(reader.load(beside), key)
-    _replace(spark, beside, destination)
-    return reader.load(destination)
+    version = versions.written(shaped, destination, file_format)
+    stored = spark.read.format(file_format).schema(shaped.schema).load(versions.place(destination, version))
+    _checked(stored, key, destination, version)
+    versions.commit(spark, destination, version)
+    versions.remove_old(spark, destination, keep)
+    return stored
+
+
+def read_loaded(
+    spark: SparkSession, destination: str, *, schema: T.StructType | None = None, file_format: str = "parquet"
+) -> DataFrame:
+    """The current version of a table that ``load`` stored; it does not change under the reader."""
+    version = versions.current(spark, destination)
+    if version is None:
+        raise FileNotFoundError(f"nothing was loaded to {destination}")
+    reader = spark.read.format(file_format)
+    return (reader if schema is None else reader.schema(schema)).load(versions.place(destination, version))
+
+
+def _checked(stored: DataFrame, key: Sequence[str], destination: str, version: str) -> None:
+    if not key:
+        return
+    try:
+        check_key(stored, key)
+    except KeyViolation:
+        versions.discard(stored.sparkSession, destination, version)
+        raise
 
 
 def load_result(df: DataFrame, table: str, destination: str) -> DataFrame:
@@ -106,23 +110,36 @@ def load_result(df: DataFrame, table: str, destination: str) -> DataFrame:
 
 
 def load_catalog_table(
-    df: DataFrame, table: str, *, schema: T.StructType | None = None, key: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    *,
+    schema: T.StructType | None = None,
+    key: Sequence[str] = (),
+    location: str | None = None,
+    keep: int = versions.KEEP,
 ) -> DataFrame:
-    """Replace a catalog table by ``df`` and return the table; written beside, checked, then renamed."""
+    """Replace a catalog table by ``df`` and return the table.
+
+    Versions lie below ``location`` (by default beside the warehouse's tables), and the catalog's entry
+    points to the current one; a load writes and checks the next, then moves the entry to it by one
+    change in the catalog. The table is never missing, never half written, and keeps its columns: a load with others is refused. As
+    with any external table, dropping it leaves its files.
+    """
     spark, shaped = df.sparkSession, _shaped(df, schema)
-    beside = f"{table}_new_{uuid.uuid4().hex}"
-    shaped.write.saveAsTable(beside)
-    if key:
-        try:
-            check_key(spark.table(beside), key)
-        except KeyViolation:
-            spark.sql(f"DROP TABLE {beside}")
-            raise
-    if spark.catalog.tableExists(table):
-        old = f"{table}_old_{uuid.uuid4().hex}"
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
-        spark.sql(f"DROP TABLE {old}")
+    exists = spark.catalog.tableExists(table)
+    columns = [(f.name, f.dataType) for f in shaped.schema]
+    if exists and [(f.name, f.dataType) for f in spark.table(table).schema] != columns:
+        raise ValueError(f"{table} has other columns than what is to be loaded")
+    if location is None:
+        location = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}.versions"
+    version = versions.written(shaped, location, "parquet")
+    path = versions.place(location, version)
+    _checked(spark.read.schema(shaped.schema).parquet(path), key, location, version)
+    versions.commit(spark, location, version)
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
     else:
-        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+        spark.catalog.createTable(table, path=path, source="parquet", schema=T.StructType([T.StructField(n, t) for n, t in columns]))
+    versions.remove_old(spark, location, keep)
     return spark.table(table)

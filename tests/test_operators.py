@@ -3,13 +3,15 @@
 import datetime as dt
 from decimal import Decimal as D
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from stores import SCHEMAS, hand_store, random_store, to_spark
 
 from salesdq.operators import impute, playlist, profile, revenue, staff, timepat
-from salesdq.sources import sink
+from salesdq.plans import distinct
+from salesdq.sources import sink, versions
 from salesdq.sources import store as store_module
 from salesdq.sources.store import TABLE_COLUMNS, Store, conform, read_table
 
@@ -138,6 +140,92 @@ def test_repeated_pairs_change_no_distinct_count(hand):
     assert rows(uses) == rows(again)
 
 
+FRACTIONS = ["decimal(18,3)", "decimal(12,1)", "decimal(9,0)", "bigint", "double", "float"]
+
+
+@pytest.mark.parametrize("kind", FRACTIONS)
+def test_spread_of_lengths_with_a_fraction(spark, noise, kind):
+    """Lengths of any exact type against DuckDB's deviation; binary fractions are refused unless digits are named."""
+    length = (F.col("Milliseconds") * F.lit(D("0.9870")) + F.col("TrackId") * F.lit(D("0.125"))).cast(kind)
+    tracks = noise.track.withColumn("Milliseconds", length)
+    digits = {"double": 3, "float": 3}.get(kind)
+    if digits:
+        with pytest.raises(ValueError, match="digits"):
+            playlist.playlist_quality_score(noise.playlist, noise.playlist_track, tracks, noise.invoice_line)
+        with pytest.raises(ValueError, match="digits"):
+            playlist.playlist_balance_score(noise.playlist, noise.playlist_track, tracks, noise.album, noise.artist)
+    score = playlist.playlist_quality_score(
+        noise.playlist, noise.playlist_track, tracks, noise.invoice_line, weight="track", length_digits=digits)
+    balance = playlist.playlist_balance_score(
+        noise.playlist, noise.playlist_track, tracks, noise.album, noise.artist, length_digits=digits)
+    rounded = tracks.withColumn("x", F.col("Milliseconds").cast("decimal(18,3)").cast("double"))
+    entries = noise.playlist_track.join(rounded, "TrackId")
+    connection = duckdb.connect()
+    connection.register("e", entries.select("PlaylistId", "x").toArrow())
+    linked = entries.join(noise.album.join(noise.artist, "ArtistId").select("AlbumId"), "AlbumId")
+    connection.register("a", linked.select("PlaylistId", "x").toArrow())
+    for df, table in ((score, "e"), (balance, "a")):
+        want = dict(connection.execute(f"select PlaylistId, coalesce(stddev_pop(x), 0) from {table} group by 1").fetchall())
+        got = {r["PlaylistId"]: float(r["DurationVariance"] or 0) for r in df.collect()}
+        assert got and all(abs(v - want[i]) < 0.006 for i, v in got.items())
+    if kind == "decimal(18,3)":  # whole numbers would have lost this
+        whole = tracks.withColumn("Milliseconds", F.col("Milliseconds").cast("bigint"))
+        other = playlist.playlist_balance_score(noise.playlist, noise.playlist_track, whole, noise.album, noise.artist)
+        assert sorted(rows(other), key=str) != sorted(rows(balance), key=str)
+
+
+def test_lengths_of_too_many_digits_are_refused(noise):
+    tracks = noise.track.withColumn("Milliseconds", F.col("Milliseconds").cast("decimal(30,5)"))
+    with pytest.raises(ValueError, match="18 digits"):
+        playlist.playlist_balance_score(noise.playlist, noise.playlist_track, tracks, noise.album, noise.artist)
+
+
+# --- distinct counts by sketch
+
+def wide_entries(spark):
+    """Playlists of 10 to 100,000 different genres, each met several times; NULL genres count for nothing."""
+    entries = spark.range(0, 400_000, 1, 8).select(F.col("id").alias("TrackId"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("PlaylistId"))
+    genre = F.when(F.col("id") % 7 > 0, F.col("id") % 100_000)
+    tracks = spark.range(0, 400_000, 1, 8).select(F.col("id").alias("TrackId"), genre.alias("GenreId"))
+    sizes = F.element_at(F.array(F.lit(10), F.lit(3_000), F.lit(400_000)), F.col("PlaylistId"))
+    names = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "empty")], "PlaylistId long, Name string")
+    return names, entries.filter(F.col("TrackId") < sizes), tracks
+
+
+@pytest.mark.parametrize("lg_nodes", [10, 12, 14])
+def test_sketched_counts_keep_their_error(spark, lg_nodes):
+    names, entries, tracks = wide_entries(spark)
+    exact = {r[0]: r["GenreVariety"] for r in playlist.playlist_genre_variety(names, entries, tracks).collect()}
+    close = {r[0]: r["GenreVariety"] for r in playlist.playlist_genre_variety(
+        names, entries, tracks, count="sketch", lg_nodes=lg_nodes).collect()}
+    assert set(exact) == set(close) == {1, 2, 3} and exact[3] > 90_000
+    assert close[1] == exact[1]  # few values are counted exactly
+    for i in exact:
+        assert abs(close[i] - exact[i]) <= 3 * distinct.standard_error(lg_nodes) * exact[i]
+
+
+def test_merged_sketches_equal_one_pass(spark):
+    names, entries, tracks = wide_entries(spark)
+    whole = playlist.playlist_genre_sketches(entries, tracks)
+    parts = [playlist.playlist_genre_sketches(entries.filter(F.col("TrackId") % 5 <= k), tracks) for k in (1, 4)]  # they overlap
+    parts.append(playlist.playlist_genre_sketches(entries.limit(0), tracks))
+    merged = distinct.merged(parts, ["PlaylistId"], ["GenreVariety"])
+    assert sorted(rows(playlist.playlist_variety_of(names, merged))) == sorted(rows(playlist.playlist_variety_of(names, whole)))
+    deeper = distinct.merged([distinct.merged(parts[:1], ["PlaylistId"], ["GenreVariety"]), *parts[1:]], ["PlaylistId"], ["GenreVariety"])
+    assert sorted(rows(playlist.playlist_variety_of(names, deeper))) == sorted(rows(playlist.playlist_variety_of(names, merged)))
+
+
+def test_sketches_of_small_playlists_change_no_report(noise):
+    args = (noise.playlist, noise.playlist_track, noise.track)
+    both = [rows(playlist.playlist_genre_variety(*args, count=c)) for c in ("exact", "sketch")]
+    assert both[0] == both[1] != []
+    args = (*args, noise.album, noise.artist)
+    both = [sorted(rows(playlist.playlist_balance_score(*args, count=c)), key=str) for c in ("exact", "sketch")]
+    assert both[0] == both[1] != []
+    with pytest.raises(ValueError):
+        playlist.playlist_genre_variety(*args[:3], count="some")
+
+
 def test_age_takes_any_numeric_column(hand):
     got = {r[0]: r[2] for r in rows(playlist.playlist_age_proxy(
         hand.playlist_track, hand.playlist, hand.track, hand.album, column="Milliseconds"))}
@@ -223,7 +311,7 @@ def test_a_load_that_fails_midway_leaves_the_old_table(spark, hand, tmp_path):
     broken = hand.track.withColumn("Name", F.when(F.col("TrackId") > 3, F.raise_error(F.lit("midway"))).otherwise(F.col("Name")))
     with pytest.raises(Exception, match="midway"):
         impute.impute_load(broken, path)
-    assert spark.read.parquet(path).count() == before
+    assert sink.read_loaded(spark, path).count() == before
 
 
 def test_a_missing_or_repeated_key_leaves_the_table_alone(spark, hand, tmp_path):
@@ -234,7 +322,93 @@ def test_a_missing_or_repeated_key_leaves_the_table_alone(spark, hand, tmp_path)
         sink.load_result(profile.group_missing_risk(hand.customer), "countryMissingRisk", path)
     with pytest.raises(sink.KeyViolation):
         sink.load_result(good.union(good), "countryMissingRisk", path)
-    assert spark.read.parquet(path).count() == before
+    assert sink.read_loaded(spark, path).count() == before
+    assert versions.remove_unfinished(spark, path, older_than_hours=0) == 0  # what was refused is gone
+
+
+def numbers(spark, n, value=0):
+    return spark.range(n).select("id", F.lit(value).alias("v"))
+
+
+STEPS = ("written", "check_key", "commit", "remove_old")
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_load_that_stops_at_any_step_leaves_a_whole_table(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sink.read_loaded(spark, path)
+    sink.load(numbers(spark, 5, 1), path, key=["id"])
+    of = sink if step == "check_key" else versions
+    work = getattr(of, step)
+
+    def stop(*args):
+        if step == "written":  # part of the files is there
+            work(*args)
+        raise OSError("stopped")
+
+    monkeypatch.setattr(of, step, stop)
+    with pytest.raises(OSError):
+        sink.load(numbers(spark, 9, 2), path, key=["id"])
+    monkeypatch.undo()
+    want = {(9, 2)} if step == "remove_old" else {(5, 1)}
+    assert rows(sink.read_loaded(spark, path).groupBy("v").count().select("count", "v")) == list(want)
+    assert sink.load(numbers(spark, 7, 3), path, key=["id"]).count() == 7
+    assert rows(sink.read_loaded(spark, path).groupBy("v").count().select("count", "v")) == [(7, 3)]
+    assert versions.remove_unfinished(spark, path) == 0  # too young to be given up
+    assert versions.remove_unfinished(spark, path, older_than_hours=0) == (step in STEPS[:3])
+    assert len(list((tmp_path / "t" / "_versions").iterdir())) == 2
+
+
+def test_readers_keep_their_version_during_a_load(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink.load(numbers(spark, 5, 1), path)
+    reader = sink.read_loaded(spark, path)
+    written = versions.written(numbers(spark, 9, 2), path, "parquet")
+    assert sink.read_loaded(spark, path).count() == 5  # written, not committed
+    versions.commit(spark, path, written)
+    assert sink.read_loaded(spark, path).count() == 9
+    assert rows(reader.distinct().orderBy("id")) == [(i, 1) for i in range(5)]
+    sink.load(sink.read_loaded(spark, path).limit(3), path)  # a table may be made from itself
+    assert sink.read_loaded(spark, path).count() == 3
+
+
+def test_loads_at_one_time_leave_one_of_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first, second = (versions.written(numbers(spark, n), path, "parquet") for n in (3, 4))
+    (tmp_path / "t" / "_commits").mkdir()
+    for version in (first, second):
+        (tmp_path / "t" / "_commits" / f"{1:020d}.{version}").touch()
+    assert versions.current(spark, path) == max(first, second)
+    assert sink.read_loaded(spark, path).count() in (3, 4)
+    with pytest.raises(ValueError):
+        versions.remove_old(spark, path, 0)
+
+
+def test_empty_results_are_loaded(spark, tmp_path):
+    stored = sink.load(numbers(spark, 0), str(tmp_path / "t"))
+    assert stored.count() == 0 and sink.read_loaded(spark, str(tmp_path / "t"), schema=stored.schema).count() == 0
+
+
+def test_the_catalog_moves_to_the_next_version(spark, tmp_path, monkeypatch):
+    where = str(tmp_path / "v")
+    assert sink.load_catalog_table(numbers(spark, 5, 1), "moved", key=["id"], location=where).count() == 5
+    with pytest.raises(sink.KeyViolation):
+        sink.load_catalog_table(numbers(spark, 5).union(numbers(spark, 5)), "moved", key=["id"], location=where)
+    with pytest.raises(ValueError, match="columns"):
+        sink.load_catalog_table(spark.range(3), "moved", location=where)
+    monkeypatch.setattr(versions, "commit", lambda *args: (_ for _ in ()).throw(OSError()))
+    with pytest.raises(OSError):
+        sink.load_catalog_table(numbers(spark, 8, 2), "moved", location=where)
+    assert spark.table("moved").count() == 5
+    monkeypatch.undo()
+    for n in (8, 9):
+        reader = spark.table("moved")
+        before = reader.count()
+        assert sink.load_catalog_table(numbers(spark, n, 2), "moved", location=where).count() == n
+        assert spark.sql("select count(*) from moved").first()[0] == n
+        assert before != n
+    spark.sql("drop table moved")
 
 
 def test_catalog_tables(spark, hand):

@@ -221,19 +221,55 @@ def test_running_total_is_the_same_for_any_slicing(spark, slice_rows):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_running_total_cuts_a_hot_group(spark):
-    """All rows in one group: its window is spread over the tasks."""
-    rows = spark.range(0, 40_000, 1, 8).select(
-        (F.col("id") * 0).alias("g"), "id", F.lit(1).cast("decimal(18,2)").alias("v")
+def task_rows(df):
+    """Rows that each task of the last exchange holds."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("hot", ["all", "third"])
+def test_a_hot_group_takes_no_task_longer_than_others(spark, hot):
+    """Broadcasts off; all rows, or a third of them, in one group: its ranges are spread over the tasks."""
+    group = F.lit(0).cast("long") if hot == "all" else F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    rows = spark.range(0, 60_000, 1, 8).select(
+        group.alias("g"), "id", F.col("id").cast("decimal(18,2)").alias("v"), F.lit("x").alias("name")
     )
-    with conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false",
-              spark__sql__autoBroadcastJoinThreshold=-1):
-        summed = running_total(
-            rows, "g", [("v", True), ("id", False)], "v", running="r", total="t", slice_rows=500
-        )
-        assert summed.filter("r = id + 1 and t = 40000").count() == 40_000
-        parts = summed.groupBy(F.spark_partition_id()).count().collect()
-    assert len(parts) == 8
+    with conf(spark, **SKEW, spark__sql__shuffle__partitions=32):
+        summed = running_total(rows, "g", [("v", True), ("id", False)], "v", running="r", total="t", slice_rows=500)
+        assert summed.columns == ["g", "id", "v", "name", "r", "t"]
+        plan = final_plan(summed)
+        parts = task_rows(summed)
+        rows.createOrReplaceTempView("hot_rows")
+        want = spark.sql("select *, sum(v) over (partition by g order by v desc, id rows unbounded preceding) r,"
+                         " sum(v) over (partition by g) t from hot_rows")
+        assert summed.exceptAll(want).count() == 0 and summed.count() == 60_000
+    assert "Join" not in plan and "Broadcast" not in plan
+    middle = sorted(parts)[len(parts) // 2]
+    assert len(parts) >= 30 and max(parts) <= 3 * middle
+
+
+def test_the_hot_artist_of_the_report_is_split(spark):
+    """The report itself, a third of the sold tracks by one artist."""
+    lines = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("InvoiceLineId"), F.col("id").alias("InvoiceId"), (F.col("id") % 20_000).alias("TrackId"),
+        (F.col("id") % 997).cast("decimal(18,2)").alias("UnitPrice"), F.lit(1).alias("Quantity"))
+    album = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 300)
+    tracks = spark.range(20_000).select(F.col("id").alias("TrackId"), F.col("id").cast("string").alias("Name"), album.alias("AlbumId"))
+    albums = spark.range(300).select(F.col("id").alias("AlbumId"), F.col("id").alias("ArtistId"))
+    artists = spark.range(300).select(F.col("id").alias("ArtistId"), F.col("id").cast("string").alias("Name"))
+    small = sorted(map(tuple, revenue.catalog_pareto(lines, tracks, albums, artists).collect()))
+    with conf(spark, **SKEW, spark__sql__shuffle__partitions=32):
+        large = revenue.catalog_pareto(lines, tracks, albums, artists, limit=1000, slice_rows=500, ordered=False)
+        parts = task_rows(large)
+        assert max(parts) <= 3 * sorted(parts)[len(parts) // 2]
+        assert sorted(map(tuple, revenue.catalog_pareto(lines, tracks, albums, artists, slice_rows=500).collect())) == small
+
+
+@pytest.mark.parametrize("rows", [0, 1, 5])
+def test_running_total_of_next_to_nothing(spark, rows):
+    df = spark.range(rows).select((F.col("id") % 2).alias("g"), "id", F.lit(None).cast("decimal(18,2)").alias("v"))
+    for slice_rows in (1, 10**9):
+        got = running_total(df, "g", [("id", False)], "v", running="r", total="t", slice_rows=slice_rows)
+        assert sorted(map(tuple, got.collect())) == sorted((i % 2, i, None, None, None) for i in range(rows))
 
 
 def test_leaders_of_a_group_need_no_window(spark):
