@@ -1,8 +1,9 @@
 """Web archives written and read as tables of record chunks.
 
-A payload is cut into chunks; each chunk is a WARC/1.1 record of its own: the first a ``response``, the others ``continuation``
-records with their segment number, as the format provides for segmented records. Both ways a chunk is one row, records are
-told apart by Content-Length, and digests are carried along, so no step needs a whole payload beyond the row it came in.
+A payload is cut into chunks where its row is read: from there on a record is rows of its number, the chunk's number and the chunk. Each chunk
+is a WARC/1.1 record of its own: the first a ``response``, the others ``continuation`` records with their segment number,
+as the format provides for segmented records. Both ways records are told apart by Content-Length, and digests are
+carried from chunk to chunk, so no step behind the source's own rows holds more than a chunk.
 """
 
 from __future__ import annotations
@@ -10,12 +11,14 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.llm import shared
+from salesdq.plans import join_many_to_one
 
 CHUNK_CHARS = 1 << 16
 VERSION, EOL = "WARC/1.1", "\r\n"
@@ -29,53 +32,82 @@ def _base32(sha1) -> str:
     return base64.b32encode(sha1.digest()).decode()
 
 
-def _chunks(text: str) -> Iterator[bytes]:
-    """UTF-8 of a text, at least one chunk."""
-    for i in range(0, max(1, len(text)), CHUNK_CHARS):
-        yield text[i : i + CHUNK_CHARS].encode()
+def chunk_table(pages: DataFrame, *keep: str) -> DataFrame:
+    """A row for each chunk: page_id, payload_key (a hash of the payload), record (a number of the row), chunks, k and chunk.
 
-
-def payload_digests(pages: DataFrame) -> DataFrame:
-    """Bytes and SHA-1 of each payload, summed up chunk by chunk; ``payload_key`` is a hash to find the row again."""
+    pages: page_id, payload and what else to ``keep``. Chunks are CHUNK_CHARS characters each but the last, cut by Spark in one walk over the payload; an empty payload is one
+    empty chunk. A record's chunks follow each other in one task.
+    """
+    cut = F.regexp_extract_all("payload", F.lit(f"(?s).{{1,{CHUNK_CHARS}}}+"), F.lit(0))  # possessive: a loop, without recursion
+    rows = pages.select("page_id", *keep, F.xxhash64("payload").alias("payload_key"), F.monotonically_increasing_id().alias("record"), cut.alias("cut"))
+    rows = rows.withColumn("chunks", F.greatest(F.size("cut"), F.lit(1)))
+    rows = rows.select("page_id", *keep, "payload_key", "record", "chunks", F.posexplode_outer("cut").alias("k", "chunk"))
+    return rows.withColumns({"k": F.coalesce("k", F.lit(0)), "chunk": F.coalesce("chunk", F.lit(""))})
+
+
+def carried_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(page_id, payload_key, bytes, SHA-1) of each record of a chunk table, whose rows come in order."""
+    sha1, size = hashlib.sha1(), 0
+    for batch in batches:
+        columns = [batch.column(c) for c in ("page_id", "payload_key", "chunks", "k", "chunk")]
+        for i in range(batch.num_rows):
+            page_id, key, chunks, k, chunk = (c[i] for c in columns)
+            block = chunk.as_buffer()
+            sha1.update(block)
+            size += block.size
+            if k.as_py() == chunks.as_py() - 1:
+                yield page_id.as_py(), key.as_py(), size, _base32(sha1)
+                sha1, size = hashlib.sha1(), 0
+
+
+def payload_digests(chunks: DataFrame) -> DataFrame:
+    """Bytes and SHA-1 of each payload, summed up chunk by chunk; ``payload_key`` is a hash to find the record again."""
+    names = [x.split()[0] for x in DIGESTS.split(", ")]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            sizes, digests = [], []
-            for text in batch.column("payload"):
-                sha1, n = hashlib.sha1(), 0
-                for chunk in _chunks(text.as_py()):
-                    sha1.update(chunk)
-                    n += len(chunk)
-                sizes.append(n)
-                digests.append(_base32(sha1))
-            columns = [batch.column("page_id"), batch.column("payload_key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["page_id", "payload_key", "payload_bytes", "payload_digest"])
+        found = carried_digests(parts)
+        while some := list(islice(found, 1000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names)
 
-    return pages.select("page_id", "payload_key", "payload").mapInArrow(run, DIGESTS)
+    return chunks.mapInArrow(run, DIGESTS)
 
 
-def _segments(page_id, url, payload, size, digest, kind, refers_to) -> Iterator[str]:
-    """A record as text, one string a chunk, each without its first line and the end of its block."""
+def _segment(page_id, url, chunks, k, chunk, size, digest, kind, refers_to) -> str:
+    """A chunk's record as text."""
 
-    def record(name: str, block: bytes, *more: str) -> str:
-        block_digest = base64.b32encode(hashlib.sha1(block).digest()).decode()
-        header = [f"WARC-Type: {name}", *more, f"WARC-Block-Digest: sha1:{block_digest}", "Content-Type: text/html"]
-        return EOL.join([*header, f"Content-Length: {len(block)}", "", block.decode()])
+    def record(name: str, block: str, *more: str) -> str:
+        data = block.encode()
+        block_digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        header = [VERSION, f"WARC-Type: {name}", *more, f"WARC-Block-Digest: sha1:{block_digest}", "Content-Type: text/html"]
+        return EOL.join([*header, f"Content-Length: {len(data)}", "", block])
 
     own = "none" if page_id is None else page_id
     origin = f"<urn:page:{own}:{digest}>"
     common = [f"WARC-Target-URI: {(url or '').replace(chr(13), ' ').replace(chr(10), ' ')}", "WARC-Date: 1970-01-01T00:00:00Z"]
     facts = [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}", f"X-Page-Id: {own}"]
     if kind == "revisit":
-        yield record("revisit", b"", f"WARC-Record-ID: {origin}", *common, *facts, f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>", f"X-Refers-To: {refers_to}")
-        return
-    chunks = list(_chunks(payload)) if len(payload) <= CHUNK_CHARS else _chunks(payload)
-    for i, chunk in enumerate(chunks, 1):
-        name = "response" if i == 1 else "continuation"
-        place = [f"WARC-Segment-Number: {i}"] if len(payload) > CHUNK_CHARS else []
-        if i > 1:
-            place += [f"WARC-Segment-Origin-ID: {origin}"]
-        yield record(name, chunk, f"WARC-Record-ID: {origin if i == 1 else f'<urn:page:{own}:{digest}:{i}>'}", *common, *facts, *place)
+        return record("revisit", "", f"WARC-Record-ID: {origin}", *common, *facts, f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>", f"X-Refers-To: {refers_to}")
+    place = [f"WARC-Segment-Number: {k + 1}"] if chunks > 1 else []
+    if k:
+        place += [f"WARC-Segment-Origin-ID: {origin}"]
+    return record("continuation" if k else "response", chunk, f"WARC-Record-ID: {f'<urn:page:{own}:{digest}:{k + 1}>' if k else origin}", *common, *facts, *place)
+
+
+def archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of a chunk table with the facts of its payloads, as text, some chunks at a time."""
+    names = ("page_id", "url", "chunks", "k", "chunk", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    for batch in batches:
+        out, size = [], 0
+        columns = [batch.column(c) for c in names]
+        for i in range(batch.num_rows):
+            out.append(_segment(*(c[i].as_py() for c in columns)))
+            size += len(out[-1])
+            if size > 16 * CHUNK_CHARS:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
@@ -85,12 +117,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     payload; the others are revisits that refer to it. A null html is an empty payload. Rows that repeat a response's page_id
     and payload are responses too; a null page_id counts as smaller than any other. Other columns are left out.
     """
-    source = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("payload")
-    ).withColumn("payload_key", F.xxhash64("payload"))
-    digests = shared.stored(payload_digests(source), "digests")
-    first = digests.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("refers_to"))
-    facts = digests.distinct().join(first, ["payload_digest", "payload_bytes"])
+    source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
+    digests = shared.stored(payload_digests(chunk_table(source)), "digests")
+    first = digests.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"))
+    # a payload that very many pages have, such as an empty one, is left to the adaptive split
+    facts = join_many_to_one(digests.distinct(), first, "payload_digest", bound=digests)
     revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     facts = facts.select(
         F.col("page_id").alias("id"),
@@ -101,24 +132,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         F.when(revisit, F.col("refers_to")).alias("refers_to"),
     )
     same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("payload_key") == F.col("fact_key"))
-    known = source.join(facts, same).select(
-        "page_id", "url", F.when(F.col("record_type") == "response", F.col("payload")).alias("payload"), "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            out, size = [], 0
-            for i in range(batch.num_rows):
-                for segment in _segments(*[batch.column(c)[i].as_py() for c in range(7)]):
-                    out.append(VERSION + EOL + segment)
-                    size += len(segment)
-                    if size > 16 * CHUNK_CHARS:
-                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
-                        out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
-
-    known.mapInArrow(run, "value string").write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
+    known = chunk_table(source, "url").join(facts, same).where("record_type = 'response' or k = 0").drop("id", "fact_key", "payload_key")
+    ordered = known.sortWithinPartitions("record", "k")  # a record's chunks come from one task, so they are together
+    ordered.mapInArrow(archive_texts, "value string").write.option("lineSep", EOL + EOL).option("compression", "gzip").text(path)
 
 
 def read_archives(spark, path: str) -> DataFrame:
