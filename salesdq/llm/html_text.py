@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,14 @@ from pyspark.sql import functions as F
 from salesdq.llm import words as W
 from salesdq.llm.trees import BoostedTrees
 
-#: Pages taken for training, and nodes of them at most.
-TRAINING_PAGES, TRAINING_NODES = 600, 40_000
+#: Pages taken for training, nodes of them at most, and bytes of a page that teaches.
+TRAINING_PAGES, TRAINING_NODES, TRAINING_BYTES = 600, 40_000, 256 << 10
 #: Element names by their meaning in HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style iframe textarea title".split())
 #: Elements that hold other things than running text: nodes that count as clutter. A start tag without its end tag opens none.
 EMBEDDED = frozenset("svg select object noscript template".split())
-EMBEDDED_TAG = re.compile(r"<(/?)(svg|select|object|noscript|template)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
+EMBEDDED_START = re.compile(r"<(/?)(svg|select|object|noscript|template)\b", re.I)
 FORMULA = "math semantics annotation mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd".split()
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()) | frozenset(FORMULA)
 CLOSES_P = frozenset(
@@ -41,6 +42,9 @@ CLUTTER = re.compile(
     r"disqus|sidebar|related|recommend\w*|share|social|breadcrumbs?|menu|nav\w*|pager|pagination|foot\w*|head(?:er)?|masthead|login|signup|search|widget)(?:$|[-_])"
 )
 ARTICLE_TOKENS = re.compile(r"(?:^|[-_])(?:article|articlebody|content|entry|main|post|story|body|text)(?:$|[-_])")
+TAG_START = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+SIGNS = re.compile(r"[>\"']")
+TOKENS = re.compile(r"(?:^|[-_])(?:article|articlebody|content|entry|main|post|story|body|text)(?:$|[-_])")
 TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 TOKENS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACES = re.compile(r"\s+")
@@ -49,20 +53,94 @@ NUMBER = {name: i for i, name in enumerate(NAMES)}
 FEATURES = len(NAMES) + 23
 
 
-def closed_starts(page: str) -> set[int]:
+class TagEnds:
+    """Where tags end: at the first > outside quotes. Found for all places of a page in one pass from its end, so no tag, however
+    its quotes are broken, is searched twice."""
+
+    def __init__(self, page: str):
+        signs = [(m.start(), m.group()) for m in SIGNS.finditer(page)]
+        self.places = [at for at, _ in signs]
+        n = len(signs)
+        self.ends = [-1] * (n + 1)  # from each sign on, outside quotes; -1: nowhere
+        later = {'"': n, "'": n}  # the next sign of the kind; n: none
+        for i in range(n - 1, -1, -1):
+            at, sign = signs[i]
+            if sign == ">":
+                self.ends[i] = at
+            else:
+                self.ends[i] = self.ends[later[sign] + 1] if later[sign] < n else -1
+                later[sign] = i
+
+    def after(self, place: int) -> int:
+        """Place of the > that ends a tag whose name ends at ``place``, or -1."""
+        return self.ends[bisect_left(self.places, place)]
+
+
+def closed_starts(page: str, ends: TagEnds) -> set[int]:
     """Places of the EMBEDDED start tags that have an end tag of their own; of nested ones the inner have the first."""
     out: set[int] = set()
     waiting: dict[str, list[int]] = {}
-    for m in EMBEDDED_TAG.finditer(page):
-        places = waiting.setdefault(m[2].lower(), [])
+    done = 0
+    for m in EMBEDDED_START.finditer(page):
+        end = ends.after(m.end())
+        if m.start() < done or end < 0:
+            continue
+        done = end + 1
+        name = m[2].lower()
+        places = waiting.setdefault(name, [])
         if not m[1]:
-            if not m[3].endswith("/") or m[2].lower() != "svg":
+            if page[end - 1] != "/" or name != "svg":
                 places.append(m.start())
         elif places:
             out.add(places.pop())
     return out
 
 
+class Open:
+    """The open elements of a page, outermost first, with the places of each name and of those that are not inline."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, int]] = []  # name and node; inline ones have that of their block
+        self.by_name: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # not inline
+        self.solid: list[int] = []  # neither inline nor p
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    def node(self) -> int:
+        return self.items[-1][1] if self.items else 0
+
+    def push(self, name: str, node: int) -> None:
+        at = len(self.items)
+        self.items.append((name, node))
+        self.by_name.setdefault(name, []).append(at)
+        if name not in INLINE:
+            self.blocks.append(at)
+            if name != "p":
+                self.solid.append(at)
+
+    def pop(self) -> str:
+        name, _ = self.items.pop()
+        self.by_name[name].pop()
+        if name not in INLINE:
+            self.blocks.pop()
+            if name != "p":
+                self.solid.pop()
+        return name
+
+    def last(self, names) -> int:
+        """Place of the innermost of these elements, or -1."""
+        return max((places[-1] for name in names if (places := self.by_name.get(name))), default=-1)
+
+    def only_inline_from(self, place: int) -> bool:
+        return not self.blocks or self.blocks[-1] < place
+
+    def only_p_from(self, place: int) -> bool:
+        """Whether there are but p and inline elements from a place on."""
+        return not self.solid or self.solid[-1] < place
+
+
 class Tree:
     """Block elements and text runs of a page, in order: parent, name, tokens of class, id and role, text and link characters."""
 
@@ -71,16 +149,15 @@ class Tree:
         self.links, self.tags, self.children, self.place = [0], [0], [0], [0]
         #: depth; clutter and article tokens of its own and above; boilerplate and content elements, itself included
         self.above: list[tuple[int, int, int, int, int, int, int]] = [(0,) * 7]
-        open_: list[tuple[str, int]] = []  # open elements and their nodes; inline ones have that of their block
+        open_ = Open()
         run: list[str] = []
         anchors, linked, drawings = 0, 0, 0
-        closed = closed_starts(page)
-
-        def node() -> int:
-            return open_[-1][1] if open_ else 0
+        ends = TagEnds(page)
+        closed = closed_starts(page, ends)
+        raw_ended: dict[str, bool] = {}
 
         def add(name: str, tokens: tuple = (), text: str = "", links: int = 0) -> int:
-            up = node()
+            up = open_.node()
             own_clutter = int(name in EMBEDDED or any(map(CLUTTER.search, tokens)))
             own_article = int(any(map(ARTICLE_TOKENS.search, tokens))) if tokens else 0
             depth, c, clutter, a, article, boiler, inside = self.above[up]
@@ -105,15 +182,15 @@ class Tree:
                 run.clear()
             linked = 0
 
-        def close(count: int) -> None:
+        def close(place: int) -> None:
+            """Close all from a place on."""
             nonlocal anchors, drawings
-            for _ in range(count):
-                name, _ = open_[-1]
-                if name not in INLINE:
+            while len(open_) > place:
+                if open_.items[-1][0] not in INLINE:
                     flush()
+                name = open_.pop()
                 anchors -= name == "a"
                 drawings -= name == "svg"
-                open_.pop()
 
         at, size = 0, len(page)
         while at < size:
@@ -125,53 +202,59 @@ class Tree:
                 linked += (begin - at) if anchors else 0
             if begin == size:
                 break
-            m = TAG.match(page, begin)
-            if not m:
+            if page.startswith(("!", "?"), begin + 1):
+                mark = "-->" if page.startswith("!--", begin + 1) else ">"
+                end = page.find(mark, begin + len(mark) + 1 if mark == "-->" else begin + 2)
+                at = size if end < 0 else end + len(mark)
+                continue
+            m = TAG_START.match(page, begin)
+            end = ends.after(m.end()) if m else -1
+            if end < 0:
                 run.append("<")
                 at = begin + 1
                 continue
-            at = m.end()
-            if not m[2]:
-                continue
-            name = m[2].lower()
+            at = end + 1
+            name, rest = m[2].lower(), page[m.end() : end]
             if m[1]:
-                places = [i for i, (n, _) in enumerate(open_) if n == name]
+                place = open_.last((name,))
                 if name == "br":
                     run.append(" ")
-                elif places and (name not in INLINE or all(n in INLINE for n, _ in open_[places[-1] :])):
-                    close(len(open_) - places[-1])
+                elif place >= 0 and (name not in INLINE or open_.only_inline_from(place)):
+                    close(place)
                 elif name == "p":
                     flush()
                 continue
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                stop = None
+                if raw_ended.get(name, True):
+                    stop = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
+                    raw_ended[name] = stop is not None
+                end = page.find(">", stop.end()) if stop else -1
+                at = size if end < 0 else end + 1
                 continue
-            if name in EMBEDDED and begin not in closed or drawings and m[3].endswith("/"):
+            if name in EMBEDDED and begin not in closed or drawings and rest.endswith("/"):
                 continue
             if name in INLINE or name in VOID:
-                self.tags[node()] += 1
+                self.tags[open_.node()] += 1
                 if name in ("br", "img", "hr", "wbr"):
                     run.append(" ")
                     if name == "hr":
                         flush()
-                elif name not in VOID and not m[3].rstrip().endswith("/"):
-                    open_.append((name, node()))
+                elif name not in VOID and not rest.rstrip().endswith("/"):
+                    open_.push(name, open_.node())
                     anchors += name == "a"
                 continue
             flush()
             if name in CLOSES_P:
-                depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == "p"), -1)
-                if depth >= 0 and all(n in INLINE or n == "p" for n, _ in open_[depth:]):
-                    close(len(open_) - depth)
+                place = open_.last(("p",))
+                if place >= 0 and open_.only_p_from(place):
+                    close(place)
             if name in SAME:
-                depth = len(open_) - 1
-                while depth >= 0 and open_[depth][0] not in SAME[name] and open_[depth][0] not in SCOPE:
-                    depth -= 1
-                if depth >= 0 and open_[depth][0] in SAME[name]:
-                    close(len(open_) - depth)
-            words = " ".join(x for found in TOKENS.findall(m[3]) for x in found).lower().split() if m[3] else ()
-            open_.append((name, add(name, tuple(words))))
+                place = open_.last(SAME[name])
+                if place >= 0 and place >= open_.last(SCOPE):
+                    close(place)
+            words = " ".join(x for found in TOKENS.findall(rest) for x in found).lower().split() if rest else ()
+            open_.push(name, add(name, tuple(words)))
             drawings += name == "svg"
         flush()
         if not self.texts:
@@ -235,10 +318,11 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
     before = np.cumsum(chars) - chars
     before -= np.repeat(before[first], sizes)
     sums = np.array(own, float)
-    for level in range(int(depth.max()), 0, -1):  # from the deepest nodes up
-        at = np.flatnonzero(depth == level)
+    by_depth = np.argsort(depth, kind="stable")
+    levels = np.split(by_depth, np.flatnonzero(np.diff(depth[by_depth])) + 1)
+    for at in levels[:0:-1]:  # from the deepest nodes up
         for s in sums:
-            s += np.bincount(up[at], s[at], len(s))
+            np.add.at(s, up[at], s[at])
     c, w, st, ln, tg, rn = sums
     total = np.maximum(np.repeat(c[first], sizes), 1)
     siblings = np.where(roots, 0, children[up])
@@ -284,18 +368,17 @@ def train(pages: DataFrame, n_pages: int = TRAINING_PAGES, n_nodes: int = TRAINI
     """Fit the trees on the pages of the ``n_pages`` smallest hashes of page_id and html that have an article or main element.
 
     Labels come from the pages' own marks. Each page teaches twice, as it is and with its marks withheld, so that density, tokens
-    and siblings decide on pages without marks. The sample is bounded by ``n_pages`` and ``n_nodes``; without any labelled
-    page there is no model.
+    and siblings decide on pages without marks. The sample is bounded by ``n_pages``, ``n_nodes`` and TRAINING_BYTES for a page, and
+    found in one pass, in which a task keeps its own ``n_pages``. Without any labelled page there is no model.
     """
-    key = F.xxhash64("page_id", F.length("html"))
-    marked = pages.where(F.lower("html").rlike("<(article|main)[ >]")).select(key.alias("h"), "page_id")
-    chosen = [r[0] for r in marked.orderBy("h", "page_id").limit(n_pages).select("page_id").collect()]
-    rows = pages.where(F.col("page_id").isin([x for x in chosen if x is not None])).limit(n_pages).select("html").collect() if chosen else []
+    source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
+    marked = source.where((F.octet_length("html") <= TRAINING_BYTES) & F.lower("html").rlike("<(article|main)[ >]"))
+    order = [F.xxhash64("page_id", "html"), F.col("page_id"), F.col("html")]
     trees, ys = [], []
-    for (page,) in sorted((r for r in rows if r[0]), key=lambda r: r[0]):
+    for (page,) in marked.orderBy(*order).limit(n_pages).select("html").collect():
         tree = Tree(page)
         label = tree.labels()
-        if label is not None and len(trees) < n_pages:
+        if label is not None:
             trees.append(tree)
             ys.append(label)
     if not trees:
