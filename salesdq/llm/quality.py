@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesdq.llm import shared
+from salesdq.plans import null_safe_lookup
 
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -105,7 +106,11 @@ def quality_rules(documents: DataFrame, labels: DataFrame, model: Model = Model(
     trusted = trusted_ids(labels)
     small = labels.select("doc_id").count() <= BROADCAST_LABELS
     teachers = trusted.where("teaches").select("label_id")
-    flagged = source.join(F.broadcast(teachers) if small else teachers, F.col("doc_id") == F.col("label_id"), "left")
+    if small:
+        flagged = source.join(F.broadcast(teachers), F.col("doc_id") == F.col("label_id"), "left")
+    else:  # null ids are dealt out, a hot one is left to the adaptive split
+        ids = teachers.select(F.col("label_id").alias("doc_id"), "label_id")
+        flagged = null_safe_lookup(source, ids, "doc_id", spread_by=[F.monotonically_increasing_id()])
     taught = F.col("label_id").isNotNull().cast("long").alias("taught")
     grams = _grams(flagged.select("words", taught).where(F.size("words") > 0), model.buckets)
     each = grams.select("taught", F.explode(F.array("one", "two")).alias("bucket")).where("bucket is not null")
