@@ -3,7 +3,8 @@
 A window is WINDOW consecutive words. Each window is filed under its anchor, the least hash of its ANCHOR-word runs, so
 equal windows share an anchor, and neighbouring windows mostly do. Anchors met in one text only are dropped at once. The rest are
 shards: all stretches of documents filed under an anchor meet in one place, where the windows that recur are confirmed word by
-word and compiled into an automaton, and the stretches are streamed through it for every occurrence.
+word and compiled into an automaton, and the stretches are streamed through it for every occurrence. An anchor met very often
+is no shard: its windows are filed one by one, each with its least document, summed up before they meet, and joined back.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from pyspark.sql import functions as F
 
 from salesdq.llm import shared
 from salesdq.llm import words as W
+from salesdq.llm.tokens import ranges
+from salesdq.plans import join_many_to_one
 
 WINDOW, ANCHOR = 13, 5
-#: Distinct stretches that one automaton serves, unless a single anchor has more.
-SHARD_STRETCHES = 10_000
+#: Distinct stretches that one automaton serves, and runs of windows of an anchor at most; one with more is filed by window.
+SHARD_STRETCHES, HOT_RUNS = 10_000, 2_000
+SECOND = np.uint64(0x2545F4914F6CDD1D)
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -113,6 +117,36 @@ def _stretches(candidates: DataFrame) -> DataFrame:
     return candidates.mapInArrow(run, "anchor long, doc_id long, key long, start int, words binary")
 
 
+def _single_windows(candidates: DataFrame) -> DataFrame:
+    """Per window of the runs of very frequent anchors: its document, its first word and two hashes of its words."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "key"))
+            runs = batch.column("runs").to_pylist()
+            for w in W.split(batch.column("text")):
+                if len(w.hashes) < WINDOW:
+                    continue
+                begins = w.begins()
+                of = [(i, r["start"], r["n"]) for i in range(w.last - w.first) for r in runs[w.first + i]]
+                row, start, n = (np.array(x, np.int64) for x in zip(*of)) if of else (np.zeros(0, np.int64),) * 3
+                row, at = np.repeat(row, n), ranges(start, n)
+                place = begins[row] + at
+                hashes = [W.combined(h, WINDOW)[place].view(np.int64) for h in (w.hashes, W.mixed(w.hashes ^ SECOND))]
+                columns = [ids[w.first + row], keys[w.first + row], at, *hashes]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "key", "start", "h", "o"])
+
+    return candidates.mapInArrow(run, "doc_id long, key long, start long, h long, o long")
+
+
+def _covered_singly(candidates: DataFrame) -> DataFrame:
+    """Covered windows of very frequent anchors: (doc_id, key, start, n)."""
+    windows = shared.stored(_single_windows(candidates), "windows")
+    first = windows.groupBy("h", "o").agg(F.min("doc_id").alias("least")).withColumn("hash", F.struct("h", "o")).select("hash", "least")
+    joined = join_many_to_one(windows.withColumn("hash", F.struct("h", "o")), first, "hash", bound=windows)
+    return joined.where("doc_id > least").select("doc_id", "key", "start", F.lit(WINDOW).cast("long").alias("n"))
+
+
 def occurrences(stretches: dict[bytes, list[tuple[int, int, int]]]) -> Iterator[tuple[int, int, int, int]]:
     """Runs of words (document, key, first word, number) covered by windows that are also in a smaller document.
 
@@ -211,17 +245,20 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     facts = shared.stored(_facts(source), "facts")
     first = facts.groupBy("key").agg(F.min("doc_id").alias("least"))
     rows = _anchor_rows(known)
-    recurring = rows.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a < b").select("anchor")
+    recurring = rows.groupBy("anchor").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("*").alias("runs")).where("a < b")
+    recurring = recurring.select("anchor", (F.col("runs") > HOT_RUNS).alias("hot"))
     hits = rows.join(recurring, "anchor").join(first.withColumnRenamed("least", "doc_id"), ["key", "doc_id"])
-    runs = hits.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
+    runs = hits.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "n", "anchor", "hot")).alias("runs"))
     runs = shared.stored(runs, "runs")
     parts, row = shared.partitions(documents), ["doc_id", "key"]
     # texts are shuffled once: their table keeps the partitions for the second join
     candidates = known.repartition(parts, *row).join(runs, row).dropDuplicates(row)
-    candidates = shared.bucketed(candidates, "candidates", row, parts)
-    covered = _located(_stretches(candidates), parts).repartition(parts, *row)
+    candidates, table = shared.bucketed(candidates, "candidates", row, parts)
+    kind = {hot: candidates.withColumn("runs", F.filter("runs", lambda r: r["hot"] == hot)).where(F.size("runs") > 0) for hot in (False, True)}
+    covered = _located(_stretches(kind[False]), parts).unionByName(_covered_singly(kind[True])).repartition(parts, *row)
     covered = covered.groupBy(*row).agg(F.collect_set(F.struct("start", "n")).alias("covered"))
-    removed = _removed(candidates.drop("runs").join(covered, row))
+    removed = shared.stored(_removed(candidates.drop("runs").join(covered, row)), "removed")
+    source.sparkSession.sql(f"DROP TABLE {table}")
     removed = removed.select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "gone", "rest")
     joined = facts.join(first, "key", "left").join(removed, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("k")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)

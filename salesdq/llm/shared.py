@@ -47,15 +47,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
-    """Like ``stored``, as an external table of ``buckets`` buckets by ``keys``, so that a join on them shuffles only its other side.
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> tuple[DataFrame, str]:
+    """Like ``stored``, as an external table of ``buckets`` buckets by ``keys``, so that a join on them shuffles only its other side;
+    and the table's name, to be dropped from the catalog when it has served.
 
     ``df`` should be partitioned by the keys into as many partitions already; each then writes one bucket.
     """
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
     with _freeing(spark):
         df.write.bucketBy(buckets, *keys).option("path", folder(spark, name)).format("parquet").saveAsTable(table)
-    return spark.table(table)
+    return spark.table(table), table
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have: ``name``, behind as many underscores as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def row_key() -> Column:
