@@ -36,10 +36,11 @@ LABELS = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[{]\x20?(?:dot|DOT|\.)\x20?[
 ENDING = re.compile(r"\.[A-Za-z]{2,}(?=[.,;:!?\"')\]>]*(?:[\x20\x09-\x0D]|$))")
 GROUPS = re.compile(r"(?<![^\x20\x09-\x0D(\[<\"'])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9])*(?![A-Za-z0-9])")
 HEXES = re.compile(r"(?<![^\x20\x09-\x0D(\[<\"'])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![^\x20\x09-\x0D.,;)\]>\"'])")
-LEAST_DIGITS, MOST_DIGITS = 5, 19
+LEAST_DIGITS = 5
 EMAIL_FORM, IP_FORM, NUMBER_FORM, ANY_FORM = 1, 2, 4 | 8, 15
 LEAST_VALUES, CONFIDENCE = 3, 0.8
-PATTERN_BLOCK = 1_000_000
+#: Bits (a power of two) of what tells the tasks which pairs of words may be patterns: 4 MB.
+SIEVE_BITS = 1 << 25
 #: Documents with added spans that are broadcast at most, some 100 bytes each; beyond, documents are shuffled to them.
 BROADCAST_ADDED = 500_000
 
@@ -133,17 +134,10 @@ def _obscured(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _groups(text: str) -> Iterator[tuple[int, int]]:
-    """Groups of digits that may be a number, up to MOST_DIGITS digits of each run."""
+    """Groups of digits that may be a number, of any length."""
     for m in GROUPS.finditer(text):
-        end, digits = m.end(), sum(c in DIGITS for c in m.group())
-        if digits > MOST_DIGITS:
-            digits = 0
-            for part in re.finditer("[0-9]+", m.group()):
-                if digits + len(part.group()) > MOST_DIGITS:
-                    break
-                digits, end = digits + len(part.group()), m.start() + part.end()
-        if digits >= LEAST_DIGITS:
-            yield m.start(), end
+        if sum(c in DIGITS for c in m.group()) >= LEAST_DIGITS:
+            yield m.span()
 
 
 def _plausible(text: str) -> list[tuple[int, int, int]]:
@@ -181,10 +175,6 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str,
     return [r for r in rows if r[0]]
 
 
-def digest(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
-
-
 def _source(documents: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("key"))
@@ -213,48 +203,39 @@ def _found(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, f"row long, doc_id long, key long, spans {SPANS}, more {CANDIDATES}")
 
 
+def _pair_hashes(patterns: DataFrame) -> DataFrame:
+    """pattern, and the hash of its two words as texts have it."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            names = batch.column("pattern")
+            for w in W.split(names):
+                at, h = w.shingles(2)  # one for each pattern
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(w.first + w.row[at])), pa.array(h.view(np.int64))], ["pattern", "h"])
+
+    return patterns.mapInArrow(run, "pattern string, h long")
+
+
 def _followed(source: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often each pattern stands before a word, in all texts: (pattern, total).
 
-    Patterns are the query set of this pass over the documents: they are sent in blocks of PATTERN_BLOCK.
+    Tasks count the pairs of words that they read and pass on those that the sieve lets through: the patterns' own, and of
+    all others the more, the fuller the sieve is. These meet the patterns in a join, so nothing but the sieve is sent around.
     """
-    spark, out, block = source.sparkSession, [], []
-
-    def count(block: list[str]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names = sent.value
-            pairs = [w.shingles(2) for w in W.split(pa.array(names, pa.string()))]
-            hashes = np.concatenate([h for _, h in pairs])  # each pattern is two words
-            order = np.argsort(hashes)
-            known, totals = hashes[order], np.zeros(len(names), np.int64)
-            for batch in parts:
-                for w in W.split(batch.column("text"), lower=True):
-                    at, h = w.shingles(2)
-                    follows = np.append(w.row[1:], -1)[at + 1] == w.row[at]
-                    h = h[follows]
-                    place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    np.add.at(totals, order[place[known[place] == h]], 1)
-            met = np.flatnonzero(totals)
-            columns = [pa.array([names[i] for i in met], pa.string()), pa.array(totals[met])]
-            yield pa.RecordBatch.from_arrays(columns, ["pattern", "total"])
-
-        return source.select("text").mapInArrow(run, "pattern string, total long")
-
-    for (pattern,) in patterns.toLocalIterator():
-        block.append(pattern)
-        if len(block) == PATTERN_BLOCK:
-            out.append(count(block))
-            block = []
-    if block:
-        out.append(count(block))
-    if not out:
-        return spark.createDataFrame([], "pattern string, total long")
-    both = out[0]
-    for x in out[1:]:
-        both = both.unionAll(x)
-    return both.groupBy("pattern").agg(F.sum("total").alias("total"))
+    hashes = shared.stored(_pair_hashes(patterns), "patterns")
+    sent = source.sparkSession.sparkContext.broadcast(W.sieve(hashes, SIEVE_BITS))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = sent.value
+        for batch in parts:
+            for w in W.split(batch.column("text"), lower=True):
+                at, h = w.shingles(2)
+                h = h[np.append(w.row[1:], -1)[at + 1] == w.row[at]].view(np.int64)  # those that a word follows
+                h, counts = np.unique(h[W.sifted(h, sieve)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(counts)], ["h", "n"])
+
+    counts = source.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("total"))
+    return hashes.join(counts, "h").select("pattern", "total")
 
 
 def _bootstrapped(found: DataFrame, source: DataFrame) -> DataFrame:
@@ -332,17 +313,18 @@ def redacted(documents: DataFrame) -> DataFrame:
     source = _source(documents)
     found = shared.stored(_found(source), "spans")
     added = _bootstrapped(found, source).join(found.select("row", "doc_id", "key"), "row")
-    added = added.groupBy(F.col("doc_id").alias("added_id"), F.col("key").alias("added_key"))
-    added = shared.stored(added.agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")), "added")
+    id_, key, more_ = (shared.fresh(documents, f"added_{x}") for x in ("id", "key", "spans"))
+    added = added.groupBy(F.col("doc_id").alias(id_), F.col("key").alias(key))
+    added = shared.stored(added.agg(F.collect_set(F.struct("kind", "start", "end")).alias(more_)), "added")
     small = added.count() <= BROADCAST_ADDED
-    same = F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("added_key"))
-    joined = documents.join(F.broadcast(added) if small else added, same, "left").drop("added_id", "added_key")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64(F.col("text").cast("string")) == F.col(key))
+    joined = documents.join(F.broadcast(added) if small else added, same, "left").drop(id_, key)
     schema = documents.schema
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             texts = []
-            for text, more in zip(batch.column("text").to_pylist(), batch.column("added").to_pylist()):
+            for text, more in zip(batch.column("text").to_pylist(), batch.column(more_).to_pylist()):
                 spans = [dict(zip(("kind", "start", "end"), s)) for s in base_spans(text or "")] + (more or [])
                 texts.append(redact(text, spans))
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in schema.names]

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -126,3 +128,22 @@ def split(texts: pa.Array, lower: bool = False) -> Iterator[Words]:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1)
         yield _split(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first, lower)
         first = last
+
+
+def sieve(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Of so many bits (a power of two, 64 at least) those on which one of the hashes falls (column ``h``, long).
+
+    A bounded sum of any number of hashes, made by the tasks that have them: tells which others cannot be among them.
+    """
+    place = F.pmod("h", F.lit(bits))
+    words = hashes.select((place / 64).cast("int").alias("i"), F.expr(f"shiftleft(1L, cast(pmod(h, {bits}) % 64 as int))").alias("b"))
+    table = words.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[np.asarray(table.column("i"), np.int64)] = np.asarray(table.column("b"), np.int64).view(np.uint64)
+    return out
+
+
+def sifted(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes (as long) may be among those of a sieve."""
+    place = hashes & np.int64(64 * len(bits) - 1)
+    return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
