@@ -19,14 +19,18 @@ COPY_WIDTH, COPY_PERCENT = 5, 80
 
 def _kept(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``shared.row_key`` is not among the places of ``rejected``: of one doc_id, also null, each text by itself."""
-    rejected = shared.stored(rejected.select(F.col("place").alias("rejected_place")).distinct(), "rejected")
+    name = shared.fresh(docs, "rejected_place")
+    rejected = shared.stored(rejected.select(F.col("place").alias(name)).distinct(), "rejected")
     small = rejected.count() <= BROADCAST_DECISIONS
-    same = shared.row_key() == F.col("rejected_place")
-    return docs.join(F.broadcast(rejected) if small else rejected, same, "left_anti")
+    return docs.join(F.broadcast(rejected) if small else rejected, shared.row_key() == F.col(name), "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality rules keep."""
+    """Rows that the quality rules keep, with all their columns, whatever these are called.
+
+    A null or empty text fails the rules and goes. Rows that repeat are judged alike; of rows that share an id, null or not, each is
+    judged by its own text. No rows give none.
+    """
     shared.ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = quality.quality_rules(docs.withColumn("place", shared.row_key()), labels, key="place")
@@ -36,36 +40,48 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies (0.8 of five-word shingles): one with the least doc_id, or any if all are null.
 
-    Rows with an empty set link with nothing. Of rows that repeat doc_id and text one stays; a doc_id may stay with several texts.
+    Rows with an empty set link with nothing. Of rows that repeat doc_id and text one stays; a doc_id may stay with several texts. Columns stay,
+    whatever they are called. No rows give none.
     """
     shared.ship(spark)
     joined = jaccard.placed_components(docs, COPY_PERCENT, COPY_WIDTH)
     kept = _kept(docs, joined.where("place <> component_place"))
-    place = shared.row_key()
-    repeated = kept.groupBy(place.alias("repeated_place")).count().where("count > 1").select("repeated_place")
+    place, name, own = shared.row_key(), shared.fresh(docs, "repeated_place"), shared.fresh(docs, "own_place")
+    repeated = kept.groupBy(place.alias(name)).count().where("count > 1").select(name)
     repeated = shared.stored(repeated, "repeated")
     if repeated.isEmpty():
         return kept
-    same = place == F.col("repeated_place")
-    once = kept.join(repeated, same, "left_semi").withColumn("place", place).dropDuplicates(["place"]).drop("place")
+    same = place == F.col(name)
+    once = kept.join(repeated, same, "left_semi").withColumn(own, place).dropDuplicates([own]).drop(own)
     return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that contain no benchmark item."""
+    """Rows that contain no benchmark item (0.8 of its five-word shingles), with all their columns, whatever these are called.
+
+    A null or empty text contains none and stays, as do texts shorter than five words. Rows are judged each by its own text. No rows
+    give none; without items all stay.
+    """
     shared.ship(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _kept(docs, contamination.contained_items(docs.withColumn("place", shared.row_key()), items, key="place"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data replaced."""
+    """All rows, personal data in their texts replaced by its kind, and n_chars, if there is such a column, counted anew.
+
+    Null and empty texts and all other columns stay as they are. Rows that repeat are treated alike. No rows give none.
+    """
     shared.ship(spark)
     return identifiers.redacted(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences."""
+    """Pieces of the packed sequences, as ``packing.digests`` gives them: of each row all ids, in order.
+
+    A null or empty text is the end mark alone. Rows that repeat are packed each; a null doc_id stays null. Columns but doc_id and text are
+    left out. No rows give none. The order of rows, and so what shares a sequence, is that in which the input's files are read.
+    """
     shared.ship(spark)
     return packing.digests(packing.concatenate_and_cut(docs))
 
