@@ -33,7 +33,7 @@ WIDTH, PERCENT = 3, 90
 #: depend on neither.
 SAMPLED, FREQUENT, MOST_FREQUENT = 64, 4, 1 << 18
 #: Sets of a list, or of a cluster, that are compared in one group; elements of a group of whole sets.
-LIST_SETS, BLOCK_SETS, BLOCK_ELEMENTS = 2000, 1500, 1 << 20
+LIST_SETS, BLOCK_SETS, BLOCK_ELEMENTS = 10_000, 1500, 1 << 20
 #: Most elements less in a subset.
 MOST_LESS = 2
 #: Cost of a recurring row of a list, and of a pair compared there, in rows shuffled.
@@ -141,12 +141,12 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def _signatures(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Short sums of sets: 2n bits or more (a power of two, 64 at least), each of which says whether an odd number of elements fall on it.
+    """Short sums of sets: n bits or more (a power of two, 64 at least), each of which says whether an odd number of elements fall on it.
 
     Two sets differ in at least as many elements as their sums differ in bits; a sum is folded to half its bits by combining its
     halves. Returns the bytes of all rows and each row's number of bytes.
     """
-    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64)) * (n > 0)
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)) * (n > 0)
     begins = np.cumsum(bits) - bits
     row = np.repeat(np.arange(len(n)), n)
     at = begins[row] + (h.astype(np.int64) & (bits[row] - 1))
@@ -262,19 +262,20 @@ def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _listed(large: DataFrame, percent: int) -> DataFrame:
     """Rows of the lists, dealt to groups (e, band, i, j): key, n, signature, at (place in the set's own order) and side.
 
-    Elements that are not frequent and stand in one set only need no list. Sets of sizes that may link lie in one band or in
-    neighbouring ones; a set takes part in its own band's groups and, as a lower one, in the next one's. A frequent element's
-    list is further dealt to pairs of blocks. Two rows of a group meet elsewhere if both are lower (side below 0), or if they
-    are of one block in a group of two (equal sides above 0).
+    Elements that are not frequent and stand in one set only need no list. A list of one block is one group. A longer one is dealt
+    to bands of sizes and to pairs of blocks: sets of sizes that may link lie in one band or in neighbouring ones, and a set takes part in
+    its own band's groups and, as a lower one, in the next one's. Two rows of a group meet elsewhere if both are lower (side below 0),
+    or if they are of one block in a group of two (equal sides above 0).
     """
     entries = large.select("key", "n", F.posexplode(F.arrays_zip("elements", "blocks")).alias("at", "x"))
     entries = entries.select("key", "n", "at", F.col("x.elements").alias("e"), F.col("x.blocks").alias("blocks"))
     rare = entries.where("blocks = 0").withColumn("df", F.expr("count(*) over (partition by e)")).where("df > 1").drop("df")
     rows = shared.stored(rare.unionByName(entries.where("blocks > 0")), "entries")
+    dealt = F.col("blocks") > 1
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / percent) * 1.000001)).cast("int")
-    rows = rows.withColumn("band", F.when(F.col("blocks") > 0, band).otherwise(0))
+    rows = rows.withColumn("band", F.when(dealt, band).otherwise(0))
     rows = rows.withColumn("mine", F.expr("cast(pmod(xxhash64(key), greatest(blocks, 1)) as int)"))
-    rows = rows.withColumn("lower", F.explode(F.when(F.col("blocks") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    rows = rows.withColumn("lower", F.explode(F.when(dealt, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, greatest(blocks, 1) - 1)")))
     i, j = F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")
     side = F.when(F.col("lower"), -1 - F.col("mine")).otherwise(F.when(F.col("mine") == F.col("other"), 0).otherwise(1 + F.col("mine")))
@@ -505,7 +506,7 @@ def _open_clusters(clusters: DataFrame, found: DataFrame, classes: DataFrame) ->
         "c", F.col("top.known").alias("top"), _blocks(F.col("all_m") - F.col("top.m"), F.col("all_e") - F.col("top.e")).alias("p"),
         _blocks(F.col("top.m"), F.col("top.e")).alias("q"),
     )
-    dealt = parts.join(of, "c").withColumn("fixed", F.col("known") == F.col("top"))
+    dealt = join_many_to_one(parts, of, "c", bound=clusters).withColumn("fixed", F.col("known") == F.col("top"))
     mine = F.when(F.col("fixed"), F.expr("p + cast(pmod(xxhash64(key), q) as int)")).otherwise(F.expr("cast(pmod(xxhash64(key), p) as int)"))
     dealt = dealt.withColumn("mine", mine).withColumn("last", F.when(F.col("fixed"), F.col("p") - 1).otherwise(F.col("p") + F.col("q") - 1))
     groups = F.expr("transform(sequence(0, last), o -> named_struct('c', c, 'i', least(mine, o), 'j', greatest(mine, o), 'fixed', fixed))")
@@ -557,7 +558,7 @@ def placed_components(documents: DataFrame, percent: int = PERCENT, width: int =
     labelled = labelled.select("key", "least", "place", F.coalesce("component", "key").alias("component"))
     first = F.coalesce(F.min_by("place", "least"), F.min("place")).alias("component_place")
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"), first)
-    answer = labelled.select("key", "component").join(least, "component")
+    answer = join_many_to_one(labelled.select("key", "component"), least, "component", bound=classes)
     answer = shared.stored(answer.select(F.col("key").alias("k"), "component_id", "component_place"), "answer")
     joined = sets.join(answer, (F.col("n") > 0) & (F.col("key") == F.col("k")), "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
