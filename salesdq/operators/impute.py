@@ -44,9 +44,13 @@ def group_modes(tracks: DataFrame, group: str, target: str, ties: str) -> DataFr
 
 @report()
 def impute_candidates(
-    tracks: DataFrame, *, group: str = "AlbumId", target: str = "Composer", ties: str = "all"
+    tracks: DataFrame, *, group: str = "AlbumId", target: str = "Composer", ties: str = "first"
 ) -> DataFrame:
-    """Suggestions for tracks without ``target``; tied values each give a suggestion."""
+    """A suggestion for each track without ``target`` whose group has one; of tied values the smallest.
+
+    With ties='all' tied values each give a suggestion: tracks times values, which only a group known to be small
+    can bear.
+    """
     gaps = tracks.filter(F.col(target).isNull()).select("TrackId", "Name", group)
     modes = group_modes(tracks, group, target, ties)
     suggested = join_many_to_one(gaps, modes, group, bound=tracks)
@@ -106,7 +110,7 @@ def impute_enriched_view(
     group: str = "AlbumId",
     target: str = "Composer",
     ties: str = "first",
-    columns: Sequence[str] = TRACK_COLUMNS,
+    keep: Sequence[str] = TRACK_COLUMNS,
 ) -> DataFrame:
     """All tracks with ``target`` filled from the group's most frequent value.
 
@@ -116,7 +120,7 @@ def impute_enriched_view(
     """
     modes = group_modes(tracks, group, target, ties)
     filled = null_safe_lookup(tracks, modes, group, spread_by=["TrackId"])
-    return filled.withColumn("FinalComposer", F.coalesce(F.col(target), F.col("_mode"))).select(*columns)
+    return filled.withColumn("FinalComposer", F.coalesce(F.col(target), F.col("_mode"))).select(*keep)
 
 
 def impute_load(

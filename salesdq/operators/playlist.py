@@ -226,7 +226,7 @@ def playlist_problem_tracks(
 def playlist_dominant_genre(
     playlists: DataFrame, entries: DataFrame, tracks: DataFrame, genres: DataFrame, *, k: int = 1
 ) -> DataFrame:
-    """The most frequent genre of each playlist; ties go by genre name."""
+    """The most frequent genre of each playlist; ties go by genre name. With ``k`` above 1 the best ``k``, and their Rank."""
     facts = _entries(entries, tracks.select("TrackId", "GenreId"), tracks)
     per_id = facts.groupBy("PlaylistId", "GenreId").agg(F.count(F.lit(1)).alias("GenreTrackCount"))
     per_name = roll_up(
@@ -237,7 +237,8 @@ def playlist_dominant_genre(
     best = top_k(
         per_name, ["PlaylistId"], [F.desc("GenreTrackCount"), F.asc("DominantGenre")], k, "_rank", ties=False
     )
-    return _named(best, playlists).select("PlaylistId", "PlaylistName", "DominantGenre", "GenreTrackCount")
+    ranks = [F.col("_rank").alias("Rank")] if k > 1 else []
+    return _named(best, playlists).select("PlaylistId", "PlaylistName", "DominantGenre", "GenreTrackCount", *ranks)
 
 
 @report("-BalanceScore", "PlaylistId")

@@ -218,7 +218,7 @@ def rep_top_genre(
     title: str = TITLE,
     k: int = 1,
 ) -> DataFrame:
-    """The genre sold most often by each representative, in lines; ties go by name."""
+    """The genre sold most often by each representative, in lines; ties go by name. With ``k`` above 1 the best ``k``, and their Rank."""
     sales = _rep_sales(employees, customers, invoices, lines, title)
     sold = sales.select("EmployeeId", "TrackId", F.lit(1).alias("SoldLines"))
     per_genre = totals_by_attributes(
@@ -236,4 +236,5 @@ def rep_top_genre(
         full_name().alias("employeeName"),
         "topGenreName",
         F.col("SoldLines").alias("genrePurchaseCount"),
+        *([F.col("_rank").alias("Rank")] if k > 1 else []),
     )

@@ -93,7 +93,7 @@ def revenue_drop(invoices: DataFrame, lines: DataFrame, *, ratio: float = 0.7) -
 
 @report("InvoiceDay", "HourOfDay")
 def peak_hour_share(invoices: DataFrame, lines: DataFrame, *, k: int = 1) -> DataFrame:
-    """The best hour of each day, all of them on a tie, and its share of the day."""
+    """The best hour of each day, all of them on a tie, and its share of the day. With ``k`` above 1 the best ``k``, and their Rank."""
     periods = {"InvoiceDay": F.to_date("InvoiceDate"), "HourOfDay": F.hour("InvoiceDate")}
     hourly = (
         _by_period(invoices, lines, periods)
@@ -107,6 +107,7 @@ def peak_hour_share(invoices: DataFrame, lines: DataFrame, *, k: int = 1) -> Dat
         "HourlyTotal",
         "DailyTotal",
         percent(F.col("HourlyTotal"), F.col("DailyTotal")).alias("PeakHourPercentage"),
+        *([F.col("_rank").alias("Rank")] if k > 1 else []),
     )
 
 
