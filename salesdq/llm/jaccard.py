@@ -32,8 +32,8 @@ WIDTH, PERCENT = 3, 90
 #: frequent; of the most frequent, MOST_FREQUENT at most (16 bytes each) are sent to the tasks. They only order the elements and deal out lists: links
 #: depend on neither.
 SAMPLED, FREQUENT, MOST_FREQUENT = 64, 4, 1 << 18
-#: Sets of a list, or of a cluster, that are compared in one group; elements of a group of whole sets.
-LIST_SETS, BLOCK_SETS, BLOCK_ELEMENTS = 10_000, 1500, 1 << 20
+#: Sets of a list, of a cluster, or around one candidate that are compared in one group; elements of a group of whole sets.
+LIST_SETS, BLOCK_SETS, STAR_SETS, BLOCK_ELEMENTS = 10_000, 1500, 250, 1 << 18
 #: Most elements less in a subset.
 MOST_LESS = 2
 #: Cost of a recurring row of a list, and of a pair compared there, in rows shuffled.
@@ -41,7 +41,7 @@ RECURRING, COMPARED = 3.0, 0.01
 #: Rows of (document, groups) that are broadcast at most, some 60 bytes each; beyond, documents are shuffled to them.
 BROADCAST_MEMBERS = 1_000_000
 #: 64-bit words of signatures that are compared at a time.
-SLICE_WORDS = 1 << 22
+SLICE_WORDS = 1 << 20
 
 SETS = (
     "doc_id long, place long, n long, key long, elements array<long>, blocks array<int>, signature binary, subsets array<long>"
@@ -476,15 +476,15 @@ def _compared(documents: DataFrame, members: DataFrame, percent: int, width: int
     return groups.mapInArrow(compare, "a long, b long")
 
 
-def _blocks(sets: Column, elements: Column) -> Column:
-    return F.greatest(F.ceil(sets / F.lit(BLOCK_SETS)), F.ceil(elements / F.lit(BLOCK_ELEMENTS))).cast("int")
+def _blocks(sets: Column, elements: Column, most: int) -> Column:
+    return F.greatest(F.ceil(sets / F.lit(most)), F.ceil(elements / F.lit(BLOCK_ELEMENTS))).cast("int")
 
 
 def _stars(direct: DataFrame, classes: DataFrame) -> DataFrame:
     """Groups of sets around one candidate: each set (fixed) goes to its own, which goes to as many groups as its sets need."""
     hubs = direct.groupBy("a").agg(F.min("b").alias("hub"))
     sized = hubs.join(classes.select(F.col("key").alias("a"), "n"), "a")
-    salts = sized.groupBy("hub").agg(_blocks(F.count("*"), F.sum("n")).alias("salts"))
+    salts = sized.groupBy("hub").agg(_blocks(F.count("*"), F.sum("n"), STAR_SETS).alias("salts"))
     rays = hubs.join(salts, "hub").select(
         F.col("a").alias("key"), F.struct(F.col("hub").alias("c"), F.expr("cast(pmod(xxhash64(a), salts) as int)").alias("i"), F.lit(0).alias("j"), F.lit(True).alias("fixed")).alias("g")
     )
@@ -503,8 +503,8 @@ def _open_clusters(clusters: DataFrame, found: DataFrame, classes: DataFrame) ->
     sizes = parts.groupBy("c", "known").agg(F.count("*").alias("m"), F.sum("n").alias("e"))
     of = sizes.groupBy("c").agg(F.max(F.struct("m", "known", "e")).alias("top"), F.sum("m").alias("all_m"), F.sum("e").alias("all_e"), F.count("*").alias("parts"))
     of = of.where("parts > 1").select(
-        "c", F.col("top.known").alias("top"), _blocks(F.col("all_m") - F.col("top.m"), F.col("all_e") - F.col("top.e")).alias("p"),
-        _blocks(F.col("top.m"), F.col("top.e")).alias("q"),
+        "c", F.col("top.known").alias("top"), _blocks(F.col("all_m") - F.col("top.m"), F.col("all_e") - F.col("top.e"), BLOCK_SETS).alias("p"),
+        _blocks(F.col("top.m"), F.col("top.e"), BLOCK_SETS).alias("q"),
     )
     dealt = join_many_to_one(parts, of, "c", bound=clusters).withColumn("fixed", F.col("known") == F.col("top"))
     mine = F.when(F.col("fixed"), F.expr("p + cast(pmod(xxhash64(key), q) as int)")).otherwise(F.expr("cast(pmod(xxhash64(key), p) as int)"))

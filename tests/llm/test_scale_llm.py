@@ -227,6 +227,7 @@ def test_frequent_elements_change_no_link(spark, corpus, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", 2)
     monkeypatch.setattr(jaccard, "LIST_SETS", 4)
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jaccard, "STAR_SETS", 2)
     for percent, width in ((80, 5), (90, 3)):
         plan = jaccard.planned(df, percent, width, sampled=1)
         assert len(plan.frequent) > 20 and plan.blocks.max() > 3
