@@ -368,14 +368,17 @@ def train(pages: DataFrame, n_pages: int = TRAINING_PAGES, n_nodes: int = TRAINI
     """Fit the trees on the pages of the ``n_pages`` smallest hashes of page_id and html that have an article or main element.
 
     Labels come from the pages' own marks. Each page teaches twice, as it is and with its marks withheld, so that density, tokens
-    and siblings decide on pages without marks. The sample is bounded by ``n_pages``, ``n_nodes`` and TRAINING_BYTES for a page, and
-    found in one pass, in which a task keeps its own ``n_pages``. Without any labelled page there is no model.
+    and siblings decide on pages without marks. The sample is bounded by ``n_pages``, ``n_nodes`` and TRAINING_BYTES for a page: a first
+    pass finds the hashes, of which a task sends its ``n_pages`` smallest, a second one these pages, each once. Without any labelled
+    page there is no model.
     """
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
     marked = source.where((F.octet_length("html") <= TRAINING_BYTES) & F.lower("html").rlike("<(article|main)[ >]"))
-    order = [F.xxhash64("page_id", "html"), F.col("page_id"), F.col("html")]
+    hashed = marked.withColumn("h", F.xxhash64("page_id", "html"))
+    last = hashed.select("h").distinct().orderBy("h").limit(n_pages).agg(F.max("h")).first()[0]
+    taught = hashed.where(F.col("h") <= last).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if last is not None else []
     trees, ys = [], []
-    for (page,) in marked.orderBy(*order).limit(n_pages).select("html").collect():
+    for _, page in taught:
         tree = Tree(page)
         label = tree.labels()
         if label is not None:
