@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesdq.functions import any_null, percent, rounded_ratio, weighted_stddev_pop, whole_units
@@ -18,6 +18,7 @@ from salesdq.operators.revenue import metadata_status
 from salesdq.plans import (
     album_artists,
     all_albums,
+    dealt_by_size,
     distinct,
     join_many_to_one,
     null_safe_lookup,
@@ -27,6 +28,9 @@ from salesdq.plans import (
 )
 from salesdq.plans.facts import roll_up
 
+# In so many places the tracks of one artist in one playlist are summed up first, so that many of them are shared out.
+SLOTS = 64
+
 
 def _track_sales(tracks: DataFrame, lines: DataFrame, *columns: str) -> DataFrame:
     """TrackId, ``columns``, Revenue, SoldLines; both NULL for unsold tracks."""
@@ -241,6 +245,27 @@ def playlist_dominant_genre(
     return _named(best, playlists).select("PlaylistId", "PlaylistName", "DominantGenre", "GenreTrackCount", *ranks)
 
 
+def _varieties(facts: DataFrame, entries: DataFrame, moments: list[Column]) -> DataFrame:
+    """GenreDiversity, ArtistDiversity and the sums of ``moments`` per playlist.
+
+    Genres and artists hardly recur within a playlist, so hash tables over both hold about as many rows as a task reads: they are
+    made in partitions whose number grows with the entries. A playlist's tracks of one artist are first summed up in SLOTS places. Each
+    artist is then counted in the group of one of its genres, which leaves a row per playlist and genre.
+    """
+    sums = ("_w", "_wx", "_wxx")
+    pair, slot = ["PlaylistId", "ArtistId", "GenreId"], F.pmod(F.xxhash64("TrackId"), F.lit(SLOTS)).alias("_slot")
+    spread = dealt_by_size(facts.select("*", slot), *pair, "_slot", bound=entries).groupBy(*pair, "_slot").agg(*moments)
+    per_pair = roll_up(dealt_by_size(spread, "PlaylistId", "ArtistId", bound=entries), pair, sums)
+    place = F.row_number().over(Window.partitionBy("PlaylistId", "ArtistId").orderBy("GenreId"))
+    counted = per_pair.withColumn("_artists", (F.col("ArtistId").isNotNull() & (place == 1)).cast("long"))
+    per_genre = roll_up(counted, ["PlaylistId", "GenreId"], ["_artists", *sums])
+    return per_genre.groupBy("PlaylistId").agg(
+        F.count("GenreId").alias("GenreDiversity"),
+        F.sum("_artists").alias("ArtistDiversity"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
 @report("-BalanceScore", "PlaylistId")
 def playlist_balance_score(
     playlists: DataFrame,
@@ -272,13 +297,7 @@ def playlist_balance_score(
         sketched = distinct.sketches(facts, ["PlaylistId"], columns, lg_nodes, also=_moments(F.lit(1), length))
         base = distinct.estimates(sketched, list(columns), lg_nodes)
     else:
-        # reduced to the pairs that occur before anything distinct is counted
-        per_pair = facts.groupBy("PlaylistId", "GenreId", "ArtistId").agg(*_moments(F.lit(1), length))
-        base = per_pair.groupBy("PlaylistId").agg(
-            F.count_distinct("GenreId").alias("GenreDiversity"),
-            F.count_distinct("ArtistId").alias("ArtistDiversity"),
-            *[F.sum(c).alias(c) for c in ("_w", "_wx", "_wxx")],
-        )
+        base = _varieties(facts, entries, _moments(F.lit(1), length))
     genre, artist, deviation = (F.lit(w) for w in weights)
     spread = weighted_stddev_pop(F.col("_w"), F.col("_wx"), F.col("_wxx")) / unit
     score = (

@@ -13,6 +13,7 @@ from salesdq.plans.facts import (
 )
 from salesdq.plans.joins import (
     broadcast_if_small,
+    dealt_by_size,
     estimated_bytes,
     fits_broadcast,
     join_many_to_one,
@@ -26,6 +27,7 @@ __all__ = [
     "all_albums",
     "artist_totals",
     "broadcast_if_small",
+    "dealt_by_size",
     "distinct",
     "estimated_bytes",
     "fits_broadcast",

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key, or NULL, holds much of the data."""
+"""Joins and shuffles that stay balanced when one key, or NULL, holds much of the data."""
 
 from __future__ import annotations
 
@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 # Estimates count compressed file bytes; a broadcast side is held uncompressed.
 COMPRESSION = 4
+# Estimated bytes of input for each partition of ``dealt_by_size``; the most partitions, as a multiple of the session's shuffle partitions.
+DEALT_BYTES, MOST_DEALT = 512 * 1024, 32
+# An estimate from here on stands for a size that Catalyst does not know.
+UNKNOWN_BYTES = 1 << 60
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -75,3 +79,16 @@ def null_safe_lookup(
         .join(one.withColumn("_slot", zero), [key, "_slot"], "left")
         .drop("_slot")
     )
+
+
+def dealt_by_size(df: DataFrame, *keys: str | Column, bound: DataFrame) -> DataFrame:
+    """``df`` by ``keys`` over a number of partitions that grows with ``bound``, an input of about as many rows.
+
+    Shuffle partitions of a number that Spark chooses are laid together up to the advisory size, in compressed bytes, or
+    until every core has one. That can be millions of rows, all of them in the hash table of one task where keys hardly recur. These
+    partitions stay as they are, so what a task holds does not grow with the input.
+    """
+    session = df.sparkSession
+    size, shuffled = estimated_bytes(bound), int(session.conf.get("spark.sql.shuffle.partitions"))
+    wanted = shuffled if size >= UNKNOWN_BYTES else max(session.sparkContext.defaultParallelism, -(-size // DEALT_BYTES))
+    return df.repartition(min(wanted, MOST_DEALT * shuffled), *keys)

@@ -1,13 +1,14 @@
 """What the planner makes of the reports: scans, exchanges, limits, skew splits."""
 
 import contextlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from salesdq.operators import impute, playlist, profile, revenue
-from salesdq.plans import estimated_bytes, fits_broadcast, join_many_to_one, null_safe_lookup, running_total, top_ties
+from salesdq.plans import estimated_bytes, fits_broadcast, join_many_to_one, joins, null_safe_lookup, running_total, top_ties
 from salesdq.sources import bindings
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -110,6 +111,35 @@ def test_small_sides_are_broadcast_only_below_the_limit(spark, store):
         assert "Broadcast" not in plan and "_slot" in plan
 
 
+def test_varieties_are_counted_in_more_partitions_of_more_entries(spark, store, monkeypatch):
+    """Tables over genres and artists of a playlist hold a share of the entries that does not grow with them."""
+    args = (store.playlist, store.playlist_track, store.track, store.album, store.artist)
+    size, counts = estimated_bytes(store.playlist_track), []
+    want = sorted(map(str, playlist.playlist_balance_score(*args).collect()))
+    assert want
+    for parts in (10, 40):
+        monkeypatch.setattr(joins, "DEALT_BYTES", -(-size // parts))
+        df = playlist.playlist_balance_score(*args)
+        plan = planned(df)
+        assert "Expand" not in plan
+        counts.append(sorted(map(int, re.findall(r", (\d+)\), REPARTITION_BY_NUM", plan))))
+        assert sorted(map(str, df.collect())) == want
+    assert counts == [[10, 10], [40, 40]]
+
+
+def test_varieties_of_mixed_and_missing_genres(spark):
+    """Artists of several genres count once, tracks without a genre count for their artist only."""
+    frame = spark.createDataFrame
+    tracks = [(i, "t", 1 + i % 2, None if i % 3 == 0 else f"g{i % 3}", 1000 * i) for i in range(1, 13)]
+    tracks = frame(tracks, "TrackId long, Name string, AlbumId long, GenreId string, Milliseconds int")
+    albums = frame([(1, "a", 7), (2, "b", 8)], "AlbumId long, Title string, ArtistId long")
+    artists = frame([(7, "x"), (8, "y")], "ArtistId long, Name string")
+    entries = [(1, i) for i in range(1, 13)] + [(2, 3), (2, 9), (2, 9), (3, 2), (3, 4)]
+    playlists = frame([(1, "p"), (2, "q"), (3, "r"), (4, "s")], "PlaylistId long, Name string")
+    got = playlist.playlist_balance_score(playlists, frame(entries, "PlaylistId long, TrackId long"), tracks, albums, artists)
+    assert {r["PlaylistId"]: (r["GenreDiversity"], r["ArtistDiversity"]) for r in got.collect()} == {1: (2, 2), 2: (0, 1), 3: (2, 1)}
+
+
 SKEW = dict(
     spark__sql__autoBroadcastJoinThreshold=-1,
     spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
