@@ -18,7 +18,7 @@ from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesdq.llm import shared
@@ -36,6 +36,8 @@ SAMPLED, FREQUENT, MOST_FREQUENT = 64, 4, 1 << 18
 LIST_SETS, BLOCK_SETS, STAR_SETS, BLOCK_ELEMENTS = 10_000, 1500, 250, 1 << 18
 #: Most elements less in a subset.
 MOST_LESS = 2
+#: Percentage from which signatures have half as many bits: unrelated sets of n elements then differ in n / 4 bits or more, linked ones in n / 9.
+NARROW = 90
 #: Cost of a recurring row of a list, and of a pair compared there, in rows shuffled.
 RECURRING, COMPARED = 3.0, 0.01
 #: Rows of (document, groups) that are broadcast at most, some 60 bytes each; beyond, documents are shuffled to them.
@@ -140,13 +142,15 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def _signatures(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _signatures(h: np.ndarray, n: np.ndarray, percent: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Short sums of sets: n bits or more (a power of two, 64 at least), each of which says whether an odd number of elements fall on it.
 
     Two sets differ in at least as many elements as their sums differ in bits; a sum is folded to half its bits by combining its
-    halves. Returns the bytes of all rows and each row's number of bytes.
+    halves. From NARROW percent on, linked sets differ in so few elements that sums of half as many bits tell others apart. Returns the
+    bytes of all rows and each row's number of bytes.
     """
-    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)) * (n > 0)
+    wanted = n / 2 if percent >= NARROW else n
+    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(wanted, 1))).astype(np.int64)) * (n > 0)
     begins = np.cumsum(bits) - bits
     row = np.repeat(np.arange(len(n)), n)
     at = begins[row] + (h.astype(np.int64) & (bits[row] - 1))
@@ -226,7 +230,7 @@ def shingle_sets(documents: DataFrame, plan: Plan, width: int = WIDTH) -> DataFr
                 listed = n >= plan.least_listed
                 mine = listed[row]
                 e, rows, m = h[mine], row[mine], np.where(listed, n, 0)
-                signature, size = _signatures(e, m)
+                signature, size = _signatures(e, m, plan.percent)
                 rank, blocks = _ranked(e.view(np.int64), plan)
                 order = np.lexsort((rank, rows))  # stable: by hash among the others
                 e, rows, blocks = e[order], rows[order], blocks[order]
@@ -262,15 +266,15 @@ def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _listed(large: DataFrame, percent: int) -> DataFrame:
     """Rows of the lists, dealt to groups (e, band, i, j): key, n, signature, at (place in the set's own order) and side.
 
-    Elements that are not frequent and stand in one set only need no list. A list of one block is one group. A longer one is dealt
+    In the list of an element that is not frequent a set stays only if the next one or the one before in order of size is near enough to its
+    own size for a link; most chance meetings end here, before they take up a row with a signature. A list of one block is one group. A longer one is dealt
     to bands of sizes and to pairs of blocks: sets of sizes that may link lie in one band or in neighbouring ones, and a set takes part in
     its own band's groups and, as a lower one, in the next one's. Two rows of a group meet elsewhere if both are lower (side below 0),
     or if they are of one block in a group of two (equal sides above 0).
     """
     entries = large.select("key", "n", F.posexplode(F.arrays_zip("elements", "blocks")).alias("at", "x"))
     entries = entries.select("key", "n", "at", F.col("x.elements").alias("e"), F.col("x.blocks").alias("blocks"))
-    rare = entries.where("blocks = 0").withColumn("df", F.expr("count(*) over (partition by e)")).where("df > 1").drop("df")
-    rows = shared.stored(rare.unionByName(entries.where("blocks > 0")), "entries")
+    rows = shared.stored(_near_in_size(entries.where("blocks = 0"), percent).unionByName(entries.where("blocks > 0")), "entries")
     dealt = F.col("blocks") > 1
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(log(100 / percent) * 1.000001)).cast("int")
     rows = rows.withColumn("band", F.when(dealt, band).otherwise(0))
@@ -283,6 +287,14 @@ def _listed(large: DataFrame, percent: int) -> DataFrame:
     return rows.join(large.select("key", "signature"), "key")
 
 
+def _near_in_size(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (e, n, ...) that have another one of the same e whose n differs so little that the two may link."""
+    order = Window.partitionBy("e").orderBy("n")
+    below = F.coalesce(100 * F.lag("n").over(order) >= percent * F.col("n"), F.lit(False))
+    above = F.coalesce(100 * F.col("n") >= percent * F.lead("n").over(order), F.lit(False))
+    return rows.withColumn("met", below | above).where("met").drop("met")
+
+
 def _passing(x: np.ndarray, y: np.ndarray, n: np.ndarray, at: np.ndarray, size: np.ndarray, begin: np.ndarray, words: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs (x, y), n of x at least that of y, may be links by place and signature."""
     total = n[x] + n[y]

@@ -313,6 +313,32 @@ def test_signatures_bound_the_difference():
 
 # --- texts of some MB
 
+def test_sums_of_narrow_links_have_half_the_bits():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        n, off = int(rng.integers(150, 400)), int(rng.integers(0, 12))
+        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        b = np.concatenate([a[off:], rng.integers(0, 1 << 62, off).astype(np.uint64)])
+        other = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        wide = jaccard._signatures(a, np.array([n]))[1][0]
+        sums = []
+        for x in (a, b, other):
+            data, size = jaccard._signatures(x, np.array([n]), 90)
+            assert 2 * size[0] == wide
+            sums.append(np.frombuffer(data.tobytes(), np.uint64))
+        assert int(np.bitwise_count(sums[0] ^ sums[1]).sum()) <= 2 * off
+        assert int(np.bitwise_count(sums[0] ^ sums[2]).sum()) > 0.11 * n
+
+
+def test_sets_of_far_sizes_do_not_stay_in_a_list(spark):
+    """Of element 1 no two sizes can link, of 2 the middle ones can, of 3 equal ones can; 4 stands alone and 5 is frequent."""
+    sizes = {1: [20, 40, 100, 300], 2: [20, 90, 100, 300], 3: [50, 50], 4: [70], 5: [30, 90]}
+    rows = [(100 * e + i, n, [e], [int(e == 5)], bytes(8)) for e, ns in sizes.items() for i, n in enumerate(ns)]
+    large = spark.createDataFrame(rows, "key long, n long, elements array<long>, blocks array<int>, signature binary")
+    got = jaccard._listed(large, 90).select("e", "n").collect()
+    assert sorted(map(tuple, got)) == [(2, 90), (2, 100), (3, 50), (3, 50), (5, 30), (5, 90)]
+
+
 def test_words_of_a_long_text(spark, corpus):
     text = " ".join(f"w{i % 5000}" for i in range(400_000))
     rows = [(1, text), (2, text + " end"), (3, "other " * 300_000)]
