@@ -23,26 +23,29 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-#: Spark's setting that removes the shuffle files of a query when it ends.
-FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go when the query ends, as nothing reads them again; and batches of rows for Python workers end at
+#: so many bytes, or 10,000 long texts at once would take up tens of MB in the worker and several times that in the JVM, in every task.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 @contextmanager
-def _freeing(spark: SparkSession) -> Iterator[None]:
-    """What is written inside gives its shuffle files back at once: nothing reads them again."""
-    before = spark.conf.get(FREE, None)
-    spark.conf.set(FREE, "true")
+def _writing(spark: SparkSession) -> Iterator[None]:
+    """What is written inside is written under WRITING."""
+    before = {name: spark.conf.get(name, None) for name in WRITING}
+    for name, value in WRITING.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(FREE) if before is None else spark.conf.set(FREE, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there, and a lost executor costs no rerun."""
     spark = df.sparkSession
     path = folder(spark, name)
-    with _freeing(spark):
+    with _writing(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -54,7 +57,7 @@ def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> tuple[D
     ``df`` should be partitioned by the keys into as many partitions already; each then writes one bucket.
     """
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    with _freeing(spark):
+    with _writing(spark):
         df.write.bucketBy(buckets, *keys).option("path", folder(spark, name)).format("parquet").saveAsTable(table)
     return spark.table(table), table
 

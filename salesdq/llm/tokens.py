@@ -17,7 +17,7 @@ from salesdq.llm.words import LOWER, buffers, spans
 
 TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 300_000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 GAPS = "\t\n\v\f\r"
 #: Stands behind each piece, for the mark that ends a word; texts that hold it are left to the tokenizer.
 END = 0x01
@@ -94,8 +94,8 @@ class Memo:
 
     def __init__(self):
         self.keys = np.zeros(1 << self.BITS, np.uint64)
-        self.first = np.zeros(1 << self.BITS, np.int64)
-        self.size = np.zeros(1 << self.BITS, np.int64)
+        self.first = np.zeros(1 << self.BITS, np.uint32)  # places in the pool: a fresh table comes long before it has 2^32 ids
+        self.size = np.zeros(1 << self.BITS, np.uint32)
         self.pool, self.used, self.kept = np.zeros(1 << 16, np.uint32), 0, 0
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -180,7 +180,7 @@ class Encoder:
         memo, sizes = self.memo, np.diff(np.append(starts, len(marked)))
         hashes = spans(marked, starts, starts + sizes)
         slot = memo.find(hashes)
-        first, size = memo.first[slot], memo.size[slot]
+        first, size = memo.first[slot].astype(np.int64), memo.size[slot].astype(np.int64)
         new = np.flatnonzero(slot < 0)
         if len(new):
             distinct, some, which = np.unique(hashes[new], return_index=True, return_inverse=True)

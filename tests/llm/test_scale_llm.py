@@ -8,10 +8,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_operators_llm import brute_links, replaced, texts
 
 import corpus_pipeline
-from salesdq.llm import contamination, html_text, identifiers, jaccard, quality, repeats, sharding, shared, warc
+from salesdq.llm import contamination, html_text, identifiers, jaccard, quality, repeats, sharding, shared, tokens, warc
 from salesdq.llm import words as W
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -339,6 +340,24 @@ def test_sets_of_far_sizes_do_not_stay_in_a_list(spark):
     assert sorted(map(tuple, got)) == [(2, 90), (2, 100), (3, 50), (3, 50), (5, 30), (5, 90)]
 
 
+def test_batches_for_python_end_at_bytes(spark):
+    """Long texts reach a worker a few MB at a time, and the session's setting is as before."""
+    def sizes(parts):
+        for batch in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["b"])
+
+    before = {name: spark.conf.get(name, None) for name in shared.WRITING}
+    texts = spark.range(0, 3000, numPartitions=1).select(F.repeat(F.lit("word "), 2000).alias("text"))
+    got = [r["b"] for r in shared.stored(texts.mapInArrow(sizes, "b long"), "sizes").collect()]
+    assert sum(got) >= 30_000_000 and max(got) < 10_000_000
+    assert before == {name: spark.conf.get(name, None) for name in shared.WRITING}
+
+
+def test_tables_of_an_encoder_stay_small():
+    memo = tokens.Memo()
+    assert memo.keys.nbytes + memo.first.nbytes + memo.size.nbytes <= 34_000_000
+
+
 def test_words_of_a_long_text(spark, corpus):
     text = " ".join(f"w{i % 5000}" for i in range(400_000))
     rows = [(1, text), (2, text + " end"), (3, "other " * 300_000)]
