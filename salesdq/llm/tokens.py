@@ -90,7 +90,7 @@ def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Memo:
     """Ids by the hash of a piece, in arrays: an open table of 64-bit keys, and a pool of ids."""
 
-    BITS, PROBES = 21, 8
+    BITS, PROBES = 20, 8
 
     def __init__(self):
         self.keys = np.zeros(1 << self.BITS, np.uint64)
